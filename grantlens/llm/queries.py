@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, sharding
+from . import exact_dedup, line_dedup, mixing, sharding, simhash_dedup
 
 BUDGETS = (0.25, 0.5, 1.0)
 SHARDS, SHARDS_AFTER = 1024, 1152
@@ -28,7 +28,17 @@ def op3_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.reshard(table(spark, sf_dir, "documents"), SHARDS, SHARDS_AFTER)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mix_sources, op2_exact_dedup, op3_jump_shards)}
+def op7_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+
+
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.near_dedup(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f for f in (op1_mix_sources, op2_exact_dedup, op3_jump_shards, op7_fuzzy_line_dedup, op10_simhash_near_dedup)
+}
 
 
 def _jump(n: int, name: str) -> str:
