@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, line_dedup, mixing, sharding, simhash_dedup
+from . import ann, exact_dedup, langid, line_dedup, lm_scoring, mixing, packing, sharding, simhash_dedup, warc
 
 BUDGETS = (0.25, 0.5, 1.0)
 SHARDS, SHARDS_AFTER = 1024, 1152
@@ -28,16 +28,44 @@ def op3_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.reshard(table(spark, sf_dir, "documents"), SHARDS, SHARDS_AFTER)
 
 
+def op4_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op5_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.export_pages(table(spark, sf_dir, "pages"))
+
+
+def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "benchmark")
+    return lm_scoring.score_texts(table(spark, sf_dir, "documents"), items).drop("text")
+
+
 def op7_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.label_documents(table(spark, sf_dir, "documents"))
+
+
+def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.label_pages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
+def op9_one_bit_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_dedup(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op2_exact_dedup, op3_jump_shards, op7_fuzzy_line_dedup, op10_simhash_near_dedup)
+    f.__name__: f for f in (
+        op1_mix_sources, op2_exact_dedup, op3_jump_shards, op4_bm25_packing, op5_warc_index, op6_lm_scores, op7_fuzzy_line_dedup, op8_language_id, op9_one_bit_neighbours, op10_simhash_near_dedup, language_id_pages,
+    )
+
 }
 
 
@@ -64,4 +92,8 @@ SELECT * FROM documents QUALIFY text IS NULL OR row_number() OVER (PARTITION BY
 WITH RECURSIVE {_jump(SHARDS, 'one')}, {_jump(SHARDS_AFTER, 'two')},
      f1 AS (SELECT doc_id, b::INTEGER AS b FROM one WHERE j >= {SHARDS}), f2 AS (SELECT doc_id, b::INTEGER AS b FROM two WHERE j >= {SHARDS_AFTER})
 SELECT f1.doc_id, f1.b AS shard_before, f2.b AS shard, f1.b <> f2.b AS moved FROM f1 JOIN f2 USING (doc_id)""",
+    "op9_one_bit_neighbours": """
+SELECT a.vec_id, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) DESC, b.vec_id)::INTEGER AS rank,
+       b.vec_id AS neighbour, round(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 5) AS similarity
+FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id QUALIFY rank <= 10""",
 }
