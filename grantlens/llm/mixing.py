@@ -85,7 +85,7 @@ def mix_levels(docs: DataFrame, budgets: Sequence[float], weights: dict[str, flo
     sizes = materialise(document_sizes(docs, id_col, source_col, text_col), "mix-sizes")
     limits = budget_thresholds(sizes, budgets, weights)
     kept = _levels(sizes, limits, "source", "h")
-    return kept.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "n_tokens", F.col("mix_level").alias("level"))
+    return kept.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "n_tokens", F.col("__mix_level").alias("level"))
 
 
 def mix_filter(docs: DataFrame, budget: float = 1.0, weights: dict[str, float] | None = None, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
@@ -102,7 +102,9 @@ def mix_filter(docs: DataFrame, budget: float = 1.0, weights: dict[str, float] |
 
 
 def _levels(df: DataFrame, limits: DataFrame, source: str, h: str) -> DataFrame:
-    wide = limits.groupBy(F.col("source").alias("mix_source")).agg(F.array_sort(F.collect_list(F.struct("level", "threshold"))).alias("mix_limits"))
-    joined = df.join(small_side(wide), F.col(source).eqNullSafe(F.col("mix_source")))
-    fits = F.filter("mix_limits", lambda x: F.col(h) < x["threshold"])
-    return joined.withColumn("mix_level", F.get(fits, 0)["level"]).filter("mix_level is not null")
+    """The rows of ``df`` that belong to the mix, with ``__mix_level``."""
+    other, bounds = spare(df, "mix_source", "mix_limits")
+    wide = limits.groupBy(F.col("source").alias(other)).agg(F.array_sort(F.collect_list(F.struct("level", "threshold"))).alias(bounds))
+    joined = df.join(small_side(wide), F.col(source).eqNullSafe(F.col(other)))
+    fits = F.filter(F.col(bounds), lambda x: F.col(h) < x["threshold"])
+    return joined.withColumn("__mix_level", F.get(fits, F.lit(0))["level"]).filter("__mix_level is not null")
