@@ -14,7 +14,7 @@ from .common import materialise
 K = 10
 BITS = 256  # bits of a code, at least: shorter vectors are padded by zeros before they are rotated
 EPSILON = 2.4  # half-width of the bounds in standard errors: a true neighbour is lost with a chance of under 1 %
-QUERY_ROWS, CODE_ROWS, STEP_ROWS = 2048, 65_536, 8192
+QUERY_ROWS, CODE_ROWS, STEP_ROWS = 1024, 65_536, 8192
 
 
 def rotation(dim: int, bits: int, seed: int = 7) -> np.ndarray:
@@ -64,8 +64,8 @@ def search_block(q_id: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray
         kth = np.partition(low, -k, axis=1)[:, -k] if low.shape[1] >= k else np.full(len(q), -np.inf)
         need = np.maximum(kth, best[:, -1])
         row, col = np.nonzero((guess + slack >= need[:, None] - 1e-6) & ~same)
-        for r in range(0, len(row), 1 << 18):
-            i, j = row[r : r + (1 << 18)], col[r : r + (1 << 18)]
+        for r in range(0, len(row), 1 << 16):
+            i, j = row[r : r + (1 << 16)], col[r : r + (1 << 16)]
             exact = np.einsum("nd,nd->n", q[i].astype(np.float64), x[part][j].astype(np.float64))
             best, best_id = _merge(best, best_id, i, ids[part][j], exact, k)
     i, j = np.nonzero(np.isfinite(best))
@@ -89,7 +89,7 @@ def nearest(vectors: DataFrame, k: int = K, id_col: str = "vec_id", vector_col:
     """(id, rank, neighbour, similarity): the ``k`` vectors of largest inner product for every vector but itself.
 
     Every vector is a query and is compared with the code of every other: no cell is skipped, so recall depends on
-    ``epsilon`` alone.  Blocks of 2,048 queries meet blocks of 65,536 codes; a pair of blocks is one unit of work, gives
+    ``epsilon`` alone.  Blocks of 1,024 queries meet blocks of 65,536 codes; a pair of blocks is one unit of work, gives
     ``k`` rows for each query, and these are merged by one aggregation.
 
     Ties go to the smaller id.  Rows with a NULL id, a NULL or empty vector or a NULL in it are left out; repeated ids are
