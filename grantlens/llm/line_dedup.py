@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .common import chunks, materialise, small_side, spare
 from .components import connected_groups
+from .edits import within
 from .fingerprints import band_pairs, normal_words, simhash
 
 WORDS, BANDS = 2, 8  # 128 bits in 8 blocks of 16
@@ -62,6 +63,21 @@ def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return one.filter("text is not null").mapInArrow(make, "doc struct<none: boolean, id: bigint, md5: binary>, line int, key binary, fp binary, norm string")
 
 
+def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose texts' edit distance is ``1 - similarity`` of the longer at most."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = batch.column("x").to_pylist(), batch.column("y").to_pylist()
+            near = [within(p, q, int(max(len(p), len(q)) * (1 - similarity) + 1e-9)) for p, q in zip(x, y)]
+            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    left, right = texts.select(F.col("node").alias("a"), F.col("norm").alias("x")), texts.select(F.col("node").alias("b"), F.col("norm").alias("y"))
+    most = F.floor(F.greatest(F.length("x"), F.length("y")) * F.lit(1 - similarity) + F.lit(1e-9))
+    sized = pairs.join(left, "a").join(right, "b").filter(F.abs(F.length("x") - F.length("y")) <= most)
+    return sized.select("a", "b", "x", "y").mapInArrow(check, "a bigint, b bigint")
+
+
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """(doc, lines): for each document the numbers of its lines that occur before, or are close to one that does.
 
@@ -80,12 +96,15 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ends = materialise(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "line-ends")
     wanted = lines.select(F.conv(F.substring(F.hex("key"), 1, 15), 16, 10).cast("bigint").alias("node"), "norm")
     texts = materialise(wanted.join(small_side(ends), "node", "left_semi").groupBy("node").agg(F.min("norm").alias("norm")), "line-texts")
-    left, right = texts.select(F.col("node").alias("a"), F.col("norm").alias("x")), texts.select(F.col("node").alias("b"), F.col("norm").alias("y"))
-    longer = F.greatest(F.length("x"), F.length("y"))
-    most = F.floor(longer * F.lit(1 - similarity) + F.lit(1e-9)).cast("int")
-    sized = pairs.join(left, "a").join(right, "b").filter(F.abs(F.length("x") - F.length("y")) <= most)
-    edges = sized.filter(F.expr(f"levenshtein(x, y, cast(floor(greatest(length(x), length(y)) * {1 - similarity!r} + 1e-9) as int)) >= 0")).select("a", "b")
-    groups = connected_groups(edges)
+    # pairs within a group that verified pairs connect need no look: each node's pair with its smallest partner goes first
+    least = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    early = materialise(_verified(least, texts, similarity), "line-early")
+    known = connected_groups(early)
+    one, two = known.select(F.col("node").alias("a"), F.col("root").alias("root_a")), known.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
+    apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
+    rest = pairs.join(small_side(one), "a", "left").join(small_side(two), "b", "left").filter(apart).select("a", "b")
+    late = _verified(rest.join(least.withColumnRenamed("a", "seen"), "b").filter("a <> seen").select("a", "b"), texts, similarity)
+    groups = connected_groups(early.unionByName(late))
     rooted = nodes.select("node", "key", "first", "n").join(small_side(groups), "node", "left").filter("n > 1 or root is not null")
     touched = materialise(rooted.select("key", "first", F.coalesce("root", "node").alias("root")), "line-touched")
     kept = touched.groupBy("root").agg(F.min("first").alias("kept"))
