@@ -6,24 +6,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, hash_strings, materialise, mix64, split_words
+from .common import chunks, fresh_path, hash_strings, materialise, split_words
 
 WINDOW = 2048  # tokens (words)
 #: Tokens of the pieces of one index shard, about.
 SHARD_TOKENS = 1_000_000
-BUCKET_BITS = 12
+SHARD_PIECES = 1 << 16
+#: Lists that the driver gets in one round, from all tasks, and neighbours kept of each size class.
+LISTS, KEEP = 12_000, 16
 K1, B = 1.2, 0.75
 
 
 def piece_table(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
-    """(id, start, n_tokens, bucket, tie, terms) of each piece.
+    """(id, tie, start, n_tokens, terms) of each piece.
 
     A document of more than ``window`` words is cut after every ``window``; full pieces need no neighbours and have NULL
-    terms.  The last piece has its distinct words as ``terms`` (uint32 hashes, then uint16 counts) and its least word hash
-    as ``bucket``, so that documents with the same rare words mostly meet in one shard.
+    terms.  The last piece has its distinct words as ``terms`` (uint32 hashes, then uint16 counts).
     """
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -37,157 +39,292 @@ def piece_table(docs: DataFrame, id_col: str, text_col: str, window: int) -> Dat
             pair, count = np.unique(rows[mine].astype(np.int64) << 32 | hashes[codes[mine]].astype(np.int64), return_counts=True)
             row, term = pair >> 32, (pair & 0xFFFFFFFF).astype(np.uint32)
             ends = np.searchsorted(row, np.arange(part.num_rows + 1))
-            scrambled = mix64(term.astype(np.uint64), 7)
-            least = np.full(part.num_rows, np.uint64(0))
-            full = ends[1:] > ends[:-1]
-            if len(row):
-                least[full] = np.minimum.reduceat(scrambled, ends[:-1][full])
             count = count.astype(np.uint16)
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], []]
             owner = []
             for i in range(part.num_rows):
                 a, b = ends[i], ends[i + 1]
                 for start in range(0, int(tail[i]), window):
-                    owner.append(i), out[0].append(start), out[1].append(window), out[2].append(-1), out[3].append(None)
-                owner.append(i), out[0].append(int(tail[i])), out[1].append(int(n[i] - tail[i])), out[2].append(int(least[i] >> np.uint64(64 - BUCKET_BITS))), out[3].append(term[a:b].tobytes() + count[a:b].tobytes())
+                    owner.append(i), out[0].append(start), out[1].append(window), out[2].append(None)
+                owner.append(i), out[0].append(int(tail[i])), out[1].append(int(n[i] - tail[i])), out[2].append(term[a:b].tobytes() + count[a:b].tobytes())
             yield pa.RecordBatch.from_arrays(
-                [part.column("id").take(pa.array(owner, pa.int64())), part.column("tie").take(pa.array(owner, pa.int64())), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.binary())],
-                ["id", "tie", "start", "n_tokens", "bucket", "terms"],
+                [part.column("id").take(pa.array(owner, pa.int64())), part.column("tie").take(pa.array(owner, pa.int64())), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.binary())],
+                ["id", "tie", "start", "n_tokens", "terms"],
             )
 
     text = F.col(text_col).cast("string")
     one = docs.select(F.col(id_col).cast("bigint").alias("id"), F.conv(F.substring(F.md5(F.coalesce(text, F.lit(""))), 1, 15), 16, 10).cast("bigint").alias("tie"), text.alias("text"))
-    return one.mapInArrow(make, "id bigint, tie bigint, start bigint, n_tokens int, bucket int, terms binary")
-
-
-class Index:
-    """A BM25 inverted index over the pieces of one shard, with the idf of Robertson and Sparck Jones floored at 0."""
-
-    def __init__(self, terms: list[np.ndarray], counts: list[np.ndarray], lengths: np.ndarray):
-        n = len(terms)
-        sizes = np.array([len(x) for x in terms])
-        doc, (vocabulary, term) = np.repeat(np.arange(n), sizes), np.unique(np.concatenate(terms), return_inverse=True) if n else (np.zeros(0), np.zeros(0, int))
-        tf = np.concatenate(counts).astype(np.float64)
-        df = np.bincount(term, minlength=len(vocabulary))
-        idf = np.maximum(0.0, np.log((n - df + 0.5) / (df + 0.5)))
-        norm = K1 * (1 - B + B * lengths / max(lengths.mean(), 1e-9))
-        weight = idf[term] * tf * (K1 + 1) / (tf + norm[doc])
-        keep = idf[term] > 0  # the others add exactly nothing
-        self.doc, self.term, self.weight = doc[keep], term[keep], weight[keep]
-        self.n, self.width = n, len(vocabulary)
-        self.own = np.searchsorted(self.doc, np.arange(n + 1))  # by piece: the terms that it asks for
-        self.own_terms = self.term
-        self._post(np.ones(n, bool))
-
-    def _post(self, free: np.ndarray) -> None:
-        at = np.flatnonzero(free[self.doc])
-        order = at[np.argsort(self.term[at], kind="stable")]
-        self.p_doc, self.p_weight = self.doc[order], self.weight[order]
-        self.p_start = np.searchsorted(self.term[order], np.arange(self.width + 1))
-        self.posted = int(free.sum())
-
-    def scores(self, piece: int, free: np.ndarray, left: int) -> np.ndarray:
-        """The score of every piece for the words of ``piece``; those of used pieces are meaningless."""
-        if 2 * left < self.posted:
-            self._post(free)
-        asked = self.own_terms[self.own[piece] : self.own[piece + 1]]
-        a, size = self.p_start[asked], self.p_start[asked + 1] - self.p_start[asked]
-        total = int(size.sum())
-        if not total:
-            return np.zeros(self.n)
-        at = np.repeat(a - np.cumsum(size) + size, size) + np.arange(total)
-        return np.bincount(self.p_doc[at], self.p_weight[at], self.n)
-
-
-def pack(terms: list[np.ndarray], counts: list[np.ndarray], lengths: np.ndarray, window: int) -> list[list[int]]:
-    """Windows of pieces, in the order of the pieces given: each seed takes its best unused neighbours that fit.
-
-    The seed is the first unused piece.  Neighbours follow by score, ties in the given order; those that share no word
-    come last, so that windows are filled all the same.  A piece that does not fit is passed over for this window.
+    return one.mapInArrow(make, "id bigint, tie bigint, start bigint, n_tokens int, terms binary")
+
+
+FOUND = np.dtype([("score", "<i8"), ("num", "<i8"), ("size", "<i4")])
+
+
+def size_classes(window: int) -> np.ndarray:
+    """Bounds of the nested size classes: 0, 1, 2, 4 and so on up to ``window``."""
+    return np.array([0, *(1 << k for k in range(window.bit_length()) if 1 << k < window), window])
+
+
+def best_of(found: np.ndarray, classes: np.ndarray, keep: int) -> np.ndarray:
+    """``found`` by score, ties by number: those among the first ``keep`` of some size class."""
+    found = found[np.lexsort((found["num"], -found["score"]))]
+    inside = found["size"][None, :] <= classes[:, None]
+    return found[(inside & (np.cumsum(inside, axis=1) <= keep)).any(axis=0)]
+
+
+def index_shard(terms: list[np.ndarray], counts: list[np.ndarray], lengths: np.ndarray, n: int, mean: float, known: np.ndarray, df: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(term, doc, weight) postings of one shard by term, with the idf of Robertson and Sparck Jones floored at 0.
+
+    ``n``, ``mean`` and ``df`` (of the terms ``known``, ascending) are those of all pieces.
+    """
+    doc, term = np.repeat(np.arange(len(terms)), [len(x) for x in terms]), np.concatenate(terms)
+    tf = np.concatenate(counts).astype(np.float64)
+    often = df[np.searchsorted(known, term)] if len(term) else np.zeros(0)
+    idf = np.maximum(0.0, np.log((n - often + 0.5) / (often + 0.5)))
+    weight = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths / max(mean, 1e-9))[doc])
+    keep = np.flatnonzero(idf > 0)  # the others add exactly nothing
+    keep = keep[np.argsort(term[keep], kind="stable")]
+    return term[keep].astype(np.uint32), doc[keep].astype(np.int32), weight[keep]
+
+
+def search_shard(term: np.ndarray, doc: np.ndarray, weight: np.ndarray, nums: np.ndarray, sizes: np.ndarray, asked: list[np.ndarray], rooms: np.ndarray, classes: np.ndarray, keep: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(query, its best pieces of every size class) over the pieces of one shard; ``nums`` ascend."""
+    n = len(nums)
+    by_size = np.argsort(sizes, kind="stable")
+    place = np.empty(n, np.int64)
+    place[by_size] = np.arange(n)
+    doc, ordered, tie = place[doc], sizes[by_size], SHARD_PIECES - 1 - by_size
+    vocabulary, start = np.unique(term, return_index=True)
+    start = np.append(start, len(term))
+    step = max(1, min(32, (1 << 21) // n))
+    for low in range(0, len(asked), step):
+        some = asked[low : low + step]
+        query, want = np.repeat(np.arange(len(some)), [len(x) for x in some]), np.concatenate(some)
+        at = np.minimum(np.searchsorted(vocabulary, want), max(0, len(vocabulary) - 1))
+        hit = np.flatnonzero(vocabulary[at] == want) if len(vocabulary) else np.zeros(0, np.int64)
+        query, at = query[hit], at[hit]
+        size = start[at + 1] - start[at]
+        post = np.repeat(start[at] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+        score = np.bincount(np.repeat(query, size) * n + doc[post], weight[post], len(some) * n).reshape(len(some), n)
+        key = np.rint(score * 1e9).astype(np.int64) << 16 | tie
+        key[ordered[None, :] > rooms[low : low + step, None]] = -1
+        mark = np.zeros(key.shape, bool)
+        for k in np.unique(np.searchsorted(ordered, classes, "right")):
+            if k > keep:
+                np.put_along_axis(mark, np.argpartition(key[:, :k], k - keep, axis=1)[:, k - keep :], True, axis=1)
+            else:
+                mark[:, :k] = True
+        mark &= key >= 0
+        for i in range(len(some)):
+            j = np.flatnonzero(mark[i])
+            found = np.empty(len(j), FOUND)
+            found["score"], found["num"], found["size"] = key[i, j] >> 16, nums[by_size[j]], ordered[j]
+            yield low + i, found
+
+
+class Filler:
+    """The greedy fill: each seed, in order, takes its best unused neighbours that fit.
+
+    The seed is the first unused piece.  Neighbours follow by score, ties by number; those that share no word come last,
+    so that windows are filled all the same.  A piece that does not fit is passed over for this window.  ``fill`` uses
+    the lists of a round of seeds only as far as they surely hold the next best piece; where one ends too early, the
+    round does, and the seed is asked again with the room it has left.
     """
-    n = len(lengths)
-    index, free, left, out = Index(terms, counts, lengths), np.ones(n, bool), n, []
-    size = np.asarray(lengths)
-    for seed in range(n):
-        if not free[seed]:
-            continue
-        free[seed] = False
-        left -= 1
-        mine, room = [seed], window - int(size[seed])
-        open_ = np.flatnonzero(free & (size <= room))
-        if len(open_):
-            score = np.round(index.scores(seed, free, left)[open_], 9)
-            order = open_[np.argsort(-score, kind="stable")]
-            need = size[order]
-            at = 0
-            while True:
-                fits = np.flatnonzero(need[at:] <= room)
-                if not len(fits):
-                    break
-                at += int(fits[0])
-                mine.append(int(order[at]))
-                room -= int(need[at])
-                at += 1
-        free[mine] = False
-        left -= len(mine) - 1
-        out.append(mine)
-    return out
+
+    def __init__(self, sizes: np.ndarray, window: int):
+        self.sizes, self.window, self.classes = sizes, window, size_classes(window)
+        self.free = np.ones(len(sizes), bool)
+        self.count = np.bincount(sizes, minlength=window + 1)
+        self.least = self.next = 0
+        self.open: list[int] = []  # the window being filled
+        self.room, self.stuck, self.done = 0, 0, []
+
+    def take(self, num: int) -> None:
+        self.free[num] = False
+        self.count[self.sizes[num]] -= 1
+        self.open.append(num)
+        self.room -= int(self.sizes[num])
+
+    def seeds(self, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """The seeds to ask for next, ``most`` about, and their room."""
+        left = np.flatnonzero(self.free[self.next :])
+        nums = self.next + left[: max(1, min(most, max(64, len(left) // 8)) >> self.stuck)]
+        rooms = self.window - self.sizes[nums]
+        return (np.append(self.open[0], nums), np.append(self.room, rooms)) if self.open else (nums, rooms)
+
+    def fill(self, seeds: np.ndarray, lists: list[np.ndarray], keep: int) -> None:
+        for seed, found in zip(seeds.tolist(), lists):
+            if not self.open:
+                if not self.free[seed]:
+                    continue
+                self.room = self.window
+                self.take(seed)
+            if not self._one(found, keep):
+                self.stuck += 1
+                return
+            self.done.append(self.open)
+            self.open, self.stuck, self.next = [], 0, seed
+
+    def _one(self, found: np.ndarray, keep: int) -> bool:
+        size, num = found["size"], found["num"]
+        at = 0
+        while True:
+            while self.least <= self.window and not self.count[self.least]:
+                self.least += 1
+            if self.least > self.room:
+                return True
+            inside = np.flatnonzero(size <= self.classes[np.searchsorted(self.classes, self.room)])
+            sure = int(inside[keep - 1]) + 1 if len(inside) >= keep else len(size)
+            fits = at + np.flatnonzero((size[at:sure] <= self.room) & self.free[num[at:sure]])
+            if not len(fits):
+                return len(inside) < keep
+            at = int(fits[0]) + 1
+            self.take(int(num[at - 1]))
+
+
+def _terms(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    k = len(blob) // 6
+    return np.frombuffer(blob, "<u4", k), np.frombuffer(blob, "<u2", k, 4 * k)
+
+
+def _indexed(pieces: DataFrame, n_shards: int, n: int, mean: float) -> DataFrame:
+    """(shard, nums, sizes, term, doc, weight): one row of blobs for each shard, made with the counts of all pieces."""
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shard, each = batch.column("shard").to_numpy(), [_terms(x)[0] for x in batch.column("terms").to_pylist()]
+            if each:
+                pair = np.repeat(shard.astype(np.int64), [len(x) for x in each]) << 32 | np.concatenate(each).astype(np.int64)
+                pair, count = np.unique(pair, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array((pair >> 32).astype(np.int32)), pa.array(pair & 0xFFFFFFFF), pa.array(count)], ["shard", "term", "n"])
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, rows, known, df = None, [], [], []
+        for batch in batches:
+            for shard, num, size, blob in zip(*(batch.column(c).to_pylist() for c in ("shard", "num", "n_tokens", "terms"))):
+                if shard != now and now is not None:
+                    yield one(now, rows, known, df)
+                    rows, known, df = [], [], []
+                now = shard
+                if blob is None:  # a term and its document frequency: these come first
+                    known.append(-1 - num), df.append(size)
+                else:
+                    rows.append((num, size, blob))
+        if now is not None:
+            yield one(now, rows, known, df)
+
+    def one(shard: int, rows: list[tuple], known: list[int], df: list[int]) -> pa.RecordBatch:
+        both, order = [_terms(r[2]) for r in rows], np.argsort(known)
+        sizes = np.array([r[1] for r in rows], np.int32)
+        made = index_shard([x for x, _ in both], [x for _, x in both], sizes, n, mean, np.array(known, np.int64)[order], np.array(df)[order])
+        blobs = [np.array([r[0] for r in rows], np.int64), sizes, *made]
+        return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in blobs)], ["shard", "nums", "sizes", "term", "doc", "weight"])
+
+    part = pieces.select("shard", "terms").mapInArrow(local, "shard int, term bigint, n bigint")
+    df = part.groupBy("term").agg(F.sum("n").cast("int").alias("n_tokens"), F.collect_set("shard").alias("shards"))
+    df = df.select(F.explode("shards").alias("shard"), (F.lit(-1) - F.col("term")).alias("num"), "n_tokens", F.lit(None).cast("binary").alias("terms"))
+    rows = df.unionByName(pieces.select("shard", "num", "n_tokens", "terms")).repartitionById(n_shards, "shard").sortWithinPartitions("shard", "num")
+    return materialise(rows.mapInArrow(build, "shard int, nums binary, sizes binary, term binary, doc binary, weight binary"), "pack-index")
+
+
+def _lists(index: DataFrame, pieces: DataFrame, filler: Filler, seeds: np.ndarray, rooms: np.ndarray, keep: int) -> list[np.ndarray]:
+    """The best free pieces of every size class for each seed, over all shards of the index."""
+    sc, classes = index.sparkSession.sparkContext, filler.classes
+    wanted = index.sparkSession.createDataFrame(pa.table({"num": seeds}))
+    got = pieces.filter(F.col("num").between(int(seeds.min()), int(seeds.max()))).join(F.broadcast(wanted), "num").select("num", "terms").toArrow()
+    terms = dict(zip(got.column("num").to_pylist(), got.column("terms").to_pylist()))
+    sent = sc.broadcast((np.packbits(filler.free), [_terms(terms[x])[0] for x in seeds.tolist()], rooms))
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, asked, room = sent.value
+        found: dict[int, list[np.ndarray]] = {}
+        for batch in batches:
+            for k in range(batch.num_rows):
+                nums, sizes, term, doc, weight = (np.frombuffer(batch.column(c)[k].as_buffer(), t) for c, t in (("nums", "<i8"), ("sizes", "<i4"), ("term", "<u4"), ("doc", "<i4"), ("weight", "<f8")))
+                free = (bits[nums >> 3] >> (7 - (nums & 7)) & 1).astype(bool)
+                if not free.any():
+                    continue
+                at, here = np.flatnonzero(free[doc]), np.cumsum(free) - 1
+                for i, x in search_shard(term[at], here[doc[at]], weight[at], nums[free], sizes[free], asked, room, classes, keep):
+                    if len(x):
+                        mine = found.setdefault(i, [])
+                        mine.append(x)
+                        if len(mine) == 8:
+                            mine[:] = [best_of(np.concatenate(mine), classes, keep)]
+        if found:
+            blobs = [best_of(np.concatenate(x), classes, keep).tobytes() for x in found.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(blobs, pa.binary())], ["seed", "found"])
+
+
+    got = index.coalesce(2 * sc.defaultParallelism).mapInArrow(look, "seed int, found binary").toArrow()
+    sent.destroy()
+    each: list[list[np.ndarray]] = [[] for _ in seeds]
+    for i, x in zip(got.column("seed").to_pylist(), got.column("found").to_pylist()):
+        each[i].append(np.frombuffer(x, FOUND))
+    return [best_of(np.concatenate(x), classes, keep) if x else np.zeros(0, FOUND) for x in each]
 
 
 def pack_documents(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """(shard, window, position, id, start, n_tokens): every word of every document in exactly one window.
 
-    ``start`` is the piece's first word.  Shards hold pieces whose least word hashes are close; a bucket of hashes that
-    holds more than a shard is divided by id hash, so no shard grows with the data, and the table of buckets has at most
-    4,096 rows.  In a shard seeds come by (id, text hash, start), NULL ids last.  NULL, empty and blank texts are
-    pieces of no words, packed like others; repeated rows are packed as often as they occur; an empty table gives none.
-    Full pieces of a long document are windows of their own, in shard -1, named by (id, start).
+    ``start`` is the piece's first word.  Pieces are numbered by (id, text hash, start), NULL ids last, and indexed in
+    shards of about ``shard_tokens`` words; document frequencies and mean length are those of all last pieces, and every
+    seed's words are sent to every shard, so windows do not depend on the division.  Rounds of seeds are asked at once and
+    filled in order as one seed after another would be.  ``shard`` is the seed's, ``window`` counts over all shards.  NULL, empty
+    and blank texts are pieces of no words, packed like others; repeated rows are packed as often as they occur; an empty
+    table gives none.  Full pieces of a long document are windows of their own, in shard -1, named by (id, start).  The
+    cost is windows times pieces.
     """
-    pieces = materialise(piece_table(docs, id_col, text_col, window), "pack-pieces")
     spark = docs.sparkSession
-    load = pieces.filter("bucket >= 0").groupBy("bucket").agg(F.sum(F.col("n_tokens") + F.lit(1)).alias("tokens")).toArrow()  # at most 4,096 rows
-    first, splits, shard, filled = {}, {}, 0, 0
-    for bucket, tokens in sorted(zip(load.column("bucket").to_pylist(), load.column("tokens").to_pylist())):
-        parts = max(1, -(-tokens // shard_tokens)) if tokens > shard_tokens * 3 // 2 else 1
-        if filled and (parts > 1 or filled + tokens > shard_tokens):
-            shard, filled = shard + 1, 0
-        first[bucket], splits[bucket] = shard, parts
-        shard, filled = (shard + parts, 0) if parts > 1 else (shard, filled + tokens)
-    n_shards = shard + 1
-    plan = spark.createDataFrame([(k, first[k], splits[k]) for k in first], "bucket int, first_shard int, splits int")
-    spread = F.pmod(F.xxhash64("id", "tie"), F.col("splits")).cast("int")
-    placed = pieces.filter("bucket >= 0").join(F.broadcast(plan), "bucket").select((F.col("first_shard") + spread).alias("shard"), "id", "tie", "start", "n_tokens", "terms")
-
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        now = None
+    pieces = materialise(piece_table(docs, id_col, text_col, window), "pack-pieces")
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, part = 0, TaskContext.get().partitionId()
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("shard", "id", "start", "n_tokens", "terms"))):
-                if row[0] != now and held:
-                    yield one(held)
-                    held = []
-                now = row[0]
-                held.append(row)
-        if held:
-            yield one(held)
-
-    def one(rows: list[tuple]) -> pa.RecordBatch:
-        terms, counts = [], []
-        for r in rows:
-            k = len(r[4]) // 6
-            terms.append(np.frombuffer(r[4], "<u4", k))
-            counts.append(np.frombuffer(r[4], "<u2", k, 4 * k))
-        windows = pack(terms, counts, np.array([r[3] for r in rows]), window)
-        flat = [i for w in windows for i in w]
-        sizes = [len(w) for w in windows]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([rows[0][0]] * len(flat), pa.int32()), pa.array(np.repeat(np.arange(len(windows)), sizes), pa.int64()), pa.array([k for s in sizes for k in range(s)], pa.int32()),
-                pa.array([rows[i][1] for i in flat], pa.int64()), pa.array([rows[i][2] for i in flat], pa.int64()), pa.array([rows[i][3] for i in flat], pa.int32()),
-            ], ["shard", "window", "position", "id", "start", "n_tokens"],
-        )
-
-    together = placed.repartitionById(max(1, n_shards), "shard").sortWithinPartitions("shard", F.col("id").asc_nulls_last(), "tie", "start")
-    packed = together.mapInArrow(fill, "shard int, window bigint, position int, id bigint, start bigint, n_tokens int")
-    whole = pieces.filter("bucket < 0").select(F.lit(-1).alias("shard"), (F.col("start") / window).cast("bigint").alias("window"), F.lit(0).alias("position"), "id", "start", "n_tokens")
+            n = batch.num_rows
+            yield pa.RecordBatch.from_arrays([pa.array([part] * n, pa.int32()), pa.array(np.arange(at, at + n)), *(batch.column(c) for c in ("id", "start", "n_tokens", "terms"))], ["part", "local", "id", "start", "n_tokens", "terms"])
+            at += n
+
+    last = pieces.filter("terms is not null").orderBy(F.col("id").asc_nulls_last(), "tie", "start").select("id", "start", "n_tokens", "terms")
+    last = materialise(last.mapInArrow(number, "part int, local bigint, id bigint, start bigint, n_tokens int, terms binary"), "pack-ordered")
+    got = last.select("part", "local", "n_tokens").toArrow()
+    part, local, sizes = (got.column(c).to_numpy() for c in ("part", "local", "n_tokens"))
+    sizes = sizes[np.lexsort((local, part))].astype(np.int64)
+    held = np.bincount(part, minlength=1)
+    offset = F.array(*[F.lit(int(x)).cast("bigint") for x in np.cumsum(held) - held])
+    shard_of = np.maximum((np.cumsum(sizes + 1) - 1) // shard_tokens, np.arange(len(sizes)) // SHARD_PIECES) if len(sizes) else sizes
+    firsts = np.flatnonzero(np.r_[True, shard_of[1:] != shard_of[:-1]] | (np.arange(len(sizes)) % SHARD_PIECES == 0)) if len(sizes) else sizes
+    placed = last.withColumn("num", F.element_at(offset, F.col("part") + 1) + F.col("local"))
+    to = fresh_path(spark, "pack-windows")
+    schema = "num bigint, shard int, window bigint, position int"
+    spark.createDataFrame([], schema).write.parquet(to)
+
+    def flush(windows: list[list[int]], first: int) -> None:
+        flat = np.array([x for w in windows for x in w], np.int64)
+        lengths = np.array([len(w) for w in windows])
+        seed = np.repeat([w[0] for w in windows], lengths)
+        shard = np.searchsorted(firsts, seed, "right") - 1
+        position = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        spark.createDataFrame(pa.table({"num": flat, "shard": shard.astype(np.int32), "window": np.repeat(np.arange(first, first + len(windows)), lengths), "position": position.astype(np.int32)})).write.mode("append").parquet(to)
+
+    if len(sizes):
+        bounds = spark.sparkContext.broadcast(firsts)
+
+        def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                shard = np.searchsorted(bounds.value, batch.column("num").to_numpy(), "right") - 1
+                yield pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int32)), *batch.columns], ["shard", *batch.schema.names])
+
+        sharded = placed.select("num", "n_tokens", "terms").mapInArrow(place, "shard int, num bigint, n_tokens int, terms binary")
+        index = _indexed(sharded, len(firsts), len(sizes), float(sizes.mean()))
+        filler, written = Filler(sizes, window), 0
+        while filler.open or filler.free.any():
+            seeds, rooms = filler.seeds(max(8, LISTS // (2 * spark.sparkContext.defaultParallelism)))
+            keep = KEEP << min(filler.stuck, 20)
+            filler.fill(seeds, _lists(index, placed, filler, seeds, rooms, keep), keep)
+            if len(filler.done) > 100_000 or not (filler.open or filler.free.any()):
+                flush(filler.done, written)
+                written, filler.done = written + len(filler.done), []
+    packed = placed.join(spark.read.schema(schema).parquet(to), "num").select("shard", "window", "position", "id", "start", "n_tokens")
+    whole = pieces.filter("terms is null").select(F.lit(-1).alias("shard"), (F.col("start") / window).cast("bigint").alias("window"), F.lit(0).alias("position"), "id", "start", "n_tokens")
     return packed.unionByName(whole).withColumnRenamed("id", id_col)

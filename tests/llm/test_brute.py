@@ -93,6 +93,16 @@ def test_packing_is_greedy(spark, documents):
     assert list(mine.values()) == want
 
 
+def test_packing_does_not_depend_on_shards(spark, documents):
+    rows = [r for r in documents.orderBy("doc_id").collect() if len(r.text.split()) <= 600]
+    got = packing.pack_documents(spark.createDataFrame(rows, documents.schema), 600, shard_tokens=4000).collect()
+    assert len({r.shard for r in got}) > 3
+    mine = {}
+    for r in sorted(got, key=lambda r: (r.window, r.position)):
+        mine.setdefault((r.shard, r.window), []).append(r.doc_id)
+    assert sorted(mine.values()) == sorted([rows[i].doc_id for i in w] for w in plain_pack([r.text.split() for r in rows], 600))
+
+
 def test_packing_keeps_every_word(documents):
     got = packing.pack_documents(documents, 256, shard_tokens=5000).collect()
     spans = {}
