@@ -73,16 +73,18 @@ def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def band_pairs(
     fps: DataFrame, n_rows: int, words: int, bands: int, keys: Callable[[np.ndarray], np.ndarray], most: int,
-    bound: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None,
+    bound: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None, ratio: float = 0.0,
 ) -> DataFrame:
     """(a, b, bits), a < b: pairs of ``fps`` (node BIGINT, fp BINARY) that share a key in some band and differ in ``most`` bits at most.
 
     ``keys`` maps (n, words) fingerprints to (n, bands) integer keys; ``bound`` is an optional cheaper lower bound of the
     distance, tried first.  Fingerprints are moved in binary blocks, one group for a band and a residue of its keys; all
-    pairs of a key are compared, and a pair is given by its first common band only.
+    pairs of a key are compared, and a pair is given by its first common band only.  With a ``ratio``, ``fps`` has a
+    column ``len`` too, and only pairs whose shorter is ``ratio`` of the longer at least are compared.
     """
     slices = max(1, -(-n_rows // GROUP_ROWS))
-    width = 8 * words
+    sized = 4 * (ratio > 0)
+    width = 8 * words + sized
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,13 +93,16 @@ def band_pairs(
             node = batch.column("node").to_numpy()
             fp = np.frombuffer(b"".join(batch.column("fp").to_pylist()), "<u8").reshape(-1, words)
             k = keys(fp)
+            body = np.ascontiguousarray(fp).view(np.uint8).reshape(len(fp), -1)
+            if sized:
+                body = np.concatenate([body, batch.column("len").to_numpy().astype("<i4").view(np.uint8).reshape(-1, 4)], axis=1)
             part, blob = [], []
             for t in range(bands):
                 to = (mix64(k[:, t]) % np.uint64(slices)).astype(np.int64)
                 for s in np.unique(to):
                     at = np.flatnonzero(to == s)
                     part.append(t * slices + int(s))
-                    blob.append(np.concatenate([node[at].view(np.uint8).reshape(-1, 8), np.ascontiguousarray(fp[at]).view(np.uint8).reshape(-1, width)], axis=1).tobytes())
+                    blob.append(np.concatenate([node[at].view(np.uint8).reshape(-1, 8), body[at]], axis=1).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(blob, pa.binary())], ["part", "block"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,11 +119,15 @@ def band_pairs(
         t = part // slices
         raw = np.frombuffer(b"".join(blocks), np.uint8).reshape(-1, 8 + width)
         node = np.ascontiguousarray(raw[:, :8]).view("<i8")[:, 0]
-        fp = np.ascontiguousarray(raw[:, 8:]).view("<u8").reshape(-1, words)
+        fp = np.ascontiguousarray(raw[:, 8 : 8 + 8 * words]).view("<u8").reshape(-1, words)
         key = keys(fp)[:, t]
-        order = np.lexsort((node, key))
-        node, fp, key = node[order], fp[order], key[order]
+        length = np.ascontiguousarray(raw[:, 8 + 8 * words :]).view("<i4")[:, 0].astype(np.int64) if sized else np.zeros(len(key), np.int64)
+        order = np.lexsort((node, length, key))
+        node, fp, key, length = node[order], fp[order], key[order], length[order]
         last = np.searchsorted(key, key, "right")  # end of each row's run of one key
+        if sized:  # or of the lengths that are near enough
+            run = np.unique(key, return_inverse=True)[1].astype(np.int64) << 32
+            last = np.searchsorted(run | length, run | (length / ratio + 1e-6).astype(np.int64), "right")
         live, step = np.arange(len(key)), 1
         while len(live := live[live + step < last[live]]):
             for at in range(0, len(live), 1 << 18):
@@ -137,7 +146,7 @@ def band_pairs(
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j])), pa.array(bits)], ["a", "b", "bits"])
             step += 1
 
-    spread_out = fps.select("node", "fp").mapInArrow(spread, "part int, block binary")
+    spread_out = fps.select("node", "fp", *["len"] * (ratio > 0)).mapInArrow(spread, "part int, block binary")
     # one group is one band slice: rows of a part lie together, in a partition of its own as far as partitions go
     together = spread_out.repartitionById(bands * slices, "part").sortWithinPartitions("part")
     return together.mapInArrow(compare, "a bigint, b bigint, bits int")

@@ -16,14 +16,14 @@ from .components import connected_groups
 from .edits import within
 from .fingerprints import band_pairs, normal_words, simhash
 
-WORDS, BANDS = 2, 8  # 128 bits in 8 blocks of 16
+WORDS, BANDS = 2, 16  # 128 bits in 16 blocks of 8
 MOST_BITS = 28
 SIMILARITY = 0.9
 
 
 def blocks(fp: np.ndarray) -> np.ndarray:
-    """(n, 8) int64: the eight 16-bit blocks."""
-    return np.ascontiguousarray(fp).view("<u2").reshape(len(fp), BANDS).astype(np.int64)
+    """(n, 16) int64: the sixteen 8-bit blocks."""
+    return np.ascontiguousarray(fp).view("u1").reshape(len(fp), BANDS).astype(np.int64)
 
 
 def normal_lines(lines: pa.Array) -> pa.Array:
@@ -81,18 +81,18 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """(doc, lines): for each document the numbers of its lines that occur before, or are close to one that does.
 
-    Lines with one normalised form are one node.  Nodes whose 128-bit SimHashes share one of eight 16-bit blocks (any two
-    within 7 bits do) and differ in 28 bits at most are verified: the edit distance of the normalised lines may be
+    Lines with one normalised form are one node.  Nodes whose 128-bit SimHashes share one of sixteen 8-bit blocks (any two
+    within 15 bits do), whose lengths allow it and that differ in 28 bits at most are verified: the edit distance of the normalised lines may be
     ``1 - similarity`` of the longer at most.  Of each group that verified pairs connect, the first occurrence by
     (id, text hash, line number) stays; NULL ids come last.  Blank lines are never dropped.
     """
     lines = materialise(line_table(docs, id_col, text_col), "lines")
     first = F.struct("doc", "line")
     nodes = materialise(
-        lines.groupBy("key").agg(F.first("fp").alias("fp"), F.min(first).alias("first"), F.count("*").alias("n"))
+        lines.groupBy("key").agg(F.first("fp").alias("fp"), F.first(F.length("norm")).alias("len"), F.min(first).alias("first"), F.count("*").alias("n"))
         .withColumn("node", F.conv(F.substring(F.hex("key"), 1, 15), 16, 10).cast("bigint")), "line-nodes",
     )
-    pairs = materialise(band_pairs(nodes, nodes.count(), WORDS, BANDS, blocks, MOST_BITS).select("a", "b"), "line-pairs")
+    pairs = materialise(band_pairs(nodes, nodes.count(), WORDS, BANDS, blocks, MOST_BITS, ratio=similarity).select("a", "b"), "line-pairs")
     ends = materialise(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "line-ends")
     wanted = lines.select(F.conv(F.substring(F.hex("key"), 1, 15), 16, 10).cast("bigint").alias("node"), "norm")
     texts = materialise(wanted.join(small_side(ends), "node", "left_semi").groupBy("node").agg(F.min("norm").alias("norm")), "line-texts")

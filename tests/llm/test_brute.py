@@ -7,9 +7,10 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from grantlens.llm import ann, fingerprints, langid, line_dedup, lm_scoring, packing, sharding, simhash_dedup, warc
+from grantlens.llm import ann, edits, fingerprints, langid, line_dedup, lm_scoring, packing, sharding, simhash_dedup, warc
 from grantlens.llm.common import fresh_path
 from grantlens.llm.components import connected_groups
 
@@ -159,6 +160,35 @@ def test_lines_by_edit_distance(spark):
     assert len(gone) >= 27 and all(r.text for r in got if r.doc_id < 100)
 
 
+def test_real_lines_by_edit_distance(spark):
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect() if r.text]
+    lines = sorted({x for t in texts for x in t.split("\n") if 6 <= len(x.split()) <= 25})
+    norm = line_dedup.normal_lines(pa.array(lines)).to_pylist()
+    lines, norm = zip(*{n: (x, n) for x, n in zip(lines, norm) if n}.values())
+    parts = [Counter(n) for n in norm]
+    order = sorted(range(len(norm)), key=lambda i: len(norm[i]))
+    near = {}
+    for k, i in enumerate(order):
+        for j in order[k + 1 :]:
+            most = int(len(norm[j]) * 0.1 + 1e-9)
+            if len(norm[j]) - len(norm[i]) > most:
+                break
+            if (parts[j] - parts[i]).total() <= most and edits.within(norm[i], norm[j], most):
+                near.setdefault(i, []).append(j), near.setdefault(j, []).append(i)
+    want, seen = set(), set()
+    for i in range(len(lines)):
+        if i in seen:
+            want.add(i)
+        todo = [i] if i in near else []
+        while todo:
+            if (x := todo.pop()) not in seen:
+                seen.add(x)
+                todo += near[x]
+    rows = spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string")
+    gone = {r.doc_id for r in line_dedup.dedup_lines(rows).collect() if r.lines_removed}
+    assert len(want) > 30 and gone <= want and len(gone) >= 0.95 * len(want)
+
+
 def test_neighbours_recall():
     rng = np.random.default_rng(1)
     x = (rng.standard_normal((3000, 64)) + 2 * rng.standard_normal((20, 64))[rng.integers(0, 20, 3000)]).astype(np.float32)
