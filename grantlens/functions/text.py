@@ -83,7 +83,7 @@ def remove_footers(x: Column) -> Column:
 
 
 def normalize_bullets(x: Column) -> Column:
-    return F.regexp_replace(x, r"(?m)^([ \t]*)[•▪◦●‣][ \t]*", "$1- ")
+    return F.regexp_replace(x, r"(?mU)^(\s*)[•●◦▪▫·‣]+\s*", "$1- ")
 
 
 def fix_hyphenation(x: Column) -> Column:

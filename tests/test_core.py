@@ -66,3 +66,10 @@ def test_assignment_is_optimal():
         best = max(sum(score[i, j] for i, j in zip(range(n), p)) for p in itertools.permutations(range(m), n)) if n <= m else max(sum(score[i, j] for i, j in zip(p, range(m))) for p in itertools.permutations(range(n), m))
         assert abs(sum(score[i, j] for i, j in S.assign(score)) - best) < 1e-9
     assert S.assign(np.array([[0.3]]), 0.5) == [] and S.assign(np.zeros((0, 2))) == []
+
+
+def test_bullets_of_the_reference(spark):
+    texts = ["·one\n  ▫▪ two\n••three", "‣ four"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r.x for r in rows.orderBy("i").select(T.normalize_bullets(rows.t).alias("x")).collect()]
+    assert got == ["- one\n  - two\n- three", "- four"]
