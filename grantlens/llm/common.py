@@ -62,6 +62,14 @@ def small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS else df.hint("shuffle_hash")
 
 
+def integral(df: DataFrame, name: str) -> Column:
+    """The column as BIGINT; a ValueError where its type is not an integer one (or void, whose values are all NULL)."""
+    kind = dict(df.dtypes)[next(c for c in df.columns if c.lower() == name.lower())]
+    if kind not in ("tinyint", "smallint", "int", "bigint", "void"):
+        raise ValueError(f"column {name} must hold integers, not {kind}")
+    return F.col(name).cast("bigint")
+
+
 def spare(df: DataFrame, *names: str) -> list[str]:
     """Names derived from ``names`` that no column of ``df`` has (case-insensitively)."""
     taken = {c.lower() for c in df.columns}

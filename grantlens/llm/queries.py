@@ -54,7 +54,8 @@ def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_one_bit_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ann.nearest(table(spark, sf_dir, "embeddings"))
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.filter("vec_id % 20 = 0"))
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,5 +96,5 @@ SELECT f1.doc_id, f1.b AS shard_before, f2.b AS shard, f1.b <> f2.b AS moved FRO
     "op9_one_bit_neighbours": """
 SELECT a.vec_id, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) DESC, b.vec_id)::INTEGER AS rank,
        b.vec_id AS neighbour, round(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 5) AS similarity
-FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id QUALIFY rank <= 10""",
+FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0 QUALIFY rank <= 10""",
 }

@@ -192,13 +192,42 @@ def test_real_lines_by_edit_distance(spark):
 def test_neighbours_recall():
     rng = np.random.default_rng(1)
     x = (rng.standard_normal((3000, 64)) + 2 * rng.standard_normal((20, 64))[rng.integers(0, 20, 3000)]).astype(np.float32)
-    ids = np.arange(3000)
-    i, found, value = ann.search_block(ids, x, ids, x, ann.rotation(64, ann.BITS), 10, ann.EPSILON)
-    full = x.astype(float) @ x.T.astype(float)
-    np.fill_diagonal(full, -np.inf)
+    ids, turn = np.arange(3000), ann.rotation(64, ann.BITS)
+    best = ann.Best(150, 10)
+    for a in range(0, 3000, 1000):  # three blocks, one after the other
+        ann.search_block(ids[::20], x[::20], ids[a : a + 1000], x[a : a + 1000], ann.encode(x[a : a + 1000], turn), turn, best, ann.EPSILON)
+    full = x[::20].astype(float) @ x.T.astype(float)
+    full[np.arange(150), ids[::20]] = -np.inf
     want = np.argsort(-full, axis=1)[:, :10]
-    recall = np.mean([len(set(want[q]) & set(found[i == q])) / 10 for q in range(0, 3000, 10)])
-    assert recall > 0.97
+    assert np.mean([len(set(want[q]) & set(best.ids[q])) / 10 for q in range(150)]) > 0.98
+
+
+def test_bit_products():
+    rng = np.random.default_rng(2)
+    q, x, turn = rng.standard_normal((5, 40)).astype(np.float32), rng.standard_normal((9, 40)).astype(np.float32), ann.rotation(40, 128)
+    codes, scale, error = ann.encode(x, turn)
+    bits, low, step, total = ann.planes(q, turn)
+    u = np.rint((q @ turn - low[:, None]) / step[:, None])
+    ones = np.unpackbits(codes.view(np.uint8), axis=1, bitorder="little")
+    assert (ann.bit_products(codes, bits) == u @ ones.T).all()
+    assert codes.shape == (9, 2)
+    guess = (2 * (low[:, None] * ones.sum(1) + step[:, None] * ann.bit_products(codes, bits)) - total[:, None]) / np.sqrt(128) * scale
+    slack = 5 * (np.linalg.norm(q, axis=1)[:, None] * error + 0.41 * step[:, None] * scale)
+    assert (np.abs(guess - q @ x.T) <= slack).all()
+
+
+def test_neighbours_of_queries(spark):
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((700, 24)).astype(np.float32).round(1)
+    x[::50] = x[1::50]  # ties
+    df = spark.createDataFrame([(i, [float(y) for y in v]) for i, v in enumerate(x)], "vec_id bigint, embedding array<float>").repartition(5)
+    got = {}
+    for r in ann.nearest(df, df.filter("vec_id % 20 = 0"), 5).collect():
+        got.setdefault(r.vec_id, {})[r.rank] = r.neighbour
+    full = x.astype(float) @ x.T.astype(float)
+    for q in range(0, 700, 20):
+        order = [j for j in np.lexsort((np.arange(700), -full[q].round(9))) if j != q][:5]
+        assert [got[q][r] for r in range(1, 6)] == order
 
 
 def test_language_fusion(spark, documents):

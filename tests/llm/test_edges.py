@@ -87,10 +87,14 @@ def test_neighbours(spark):
     rows = [(1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 1.0]), (3, [0.0, 1.0]), (4, None), (None, [1.0, 1.0]), (5, []), (6, [0.0, 0.0]), (7, [None, 1.0])]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").withColumn("id", F.lit("x")).withColumn("v", F.lit(1))
     got = {}
-    for r in ann.nearest(df, 2).collect():
+    for r in ann.nearest(df, k=2).collect():
         got.setdefault(r.vec_id, {})[r.rank] = (r.neighbour, r.similarity)
     assert got == {1: {1: (2, 1.0), 2: (3, 0.0)}, 2: {1: (1, 1.0), 2: (3, 0.0)}, 3: {1: (1, 0.0), 2: (2, 0.0)}, 6: {1: (1, 0.0), 2: (2, 0.0)}}
-    assert ann.nearest(df.limit(0), 2).count() == 0
+    assert ann.nearest(df.limit(0), k=2).count() == 0
+    odd = spark.createDataFrame([(10 + i, [float("nan") if i % 2 else float("inf"), 1.0]) for i in range(40)], "vec_id bigint, embedding array<float>")
+    assert {(r.vec_id, r.rank): r.neighbour for r in ann.nearest(df.select("vec_id", "embedding").unionByName(odd), k=2).collect()} == {(q, r): n[0] for q, x in got.items() for r, n in x.items()}
+    with pytest.raises(ValueError):
+        ann.nearest(spark.createDataFrame([("u-1", [1.0])], "vec_id string, embedding array<float>"))
     with pytest.raises(ValueError):
         ann.nearest(spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0])], "vec_id bigint, embedding array<float>"))
 
