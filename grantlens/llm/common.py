@@ -15,8 +15,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A side of a join is broadcast only when it was counted and has at most so many rows of a few fixed-width columns.
-BROADCAST_ROWS = 400_000
+#: A side of a join is broadcast only when it was counted and its files have at most so many rows and bytes.
+BROADCAST_ROWS, BROADCAST_BYTES = 400_000, 24 << 20
 #: Bytes of text that a Python worker holds as word arrays at a time; one longer document is a chunk of its own.
 CHUNK_BYTES = 4 << 20
 
@@ -57,9 +57,10 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
 
 
 def small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """Hints how to join with ``df`` (a materialised table): broadcast if counted small, else a shuffled hash join."""
+    """Hints how to join with ``df`` (a materialised table or a projection of one): broadcast if counted small, else a shuffled hash join."""
     n = df.count() if rows is None else rows
-    return F.broadcast(df) if n <= BROADCAST_ROWS else df.hint("shuffle_hash")
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # of its files, as written
+    return F.broadcast(df) if n <= BROADCAST_ROWS and size <= BROADCAST_BYTES else df.hint("shuffle_hash")
 
 
 def integral(df: DataFrame, name: str) -> Column:

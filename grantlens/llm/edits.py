@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import numpy as np
+
+#: Words of a band, at most: pairs that need a wider one are computed one by one.
+WIDEST = 12
 
 def _common(x: str, y: str) -> int:
     """Length of the common prefix, by bisection over slices."""
@@ -74,14 +80,108 @@ def distance(x: str, y: str) -> int:
     return score
 
 
+def _stripped(x: str, y: str) -> tuple[str, str]:
+    """Both without their common prefix and suffix."""
+    n = _common(x, y)
+    x, y = x[n:], y[n:]
+    n = _common_end(x, y)
+    return x[: len(x) - n], y[: len(y) - n]
+
+
 def within(x: str, y: str, most: int) -> bool:
     """``distance(x, y) <= most``."""
     if abs(len(x) - len(y)) > most:
         return False
-    n = _common(x, y)
-    x, y = x[n:], y[n:]
-    n = _common_end(x, y)
-    x, y = x[: len(x) - n], y[: len(y) - n]
+    x, y = _stripped(x, y)
     if max(len(x), len(y)) <= most:
         return True
     return script_cost(x, y, most) <= most or distance(x, y) <= most
+
+
+def within_all(xs: Sequence[str], ys: Sequence[str], most: Sequence[int]) -> np.ndarray:
+    """:func:`within` of each pair; those that no cheap bound decides go through :func:`_banded` together."""
+    out = np.zeros(len(xs), bool)
+    open_: dict[int, list[tuple[int, str, str, int]]] = {}
+    for i, (x, y, m) in enumerate(zip(xs, ys, most)):
+        if abs(len(x) - len(y)) > m:
+            continue
+        x, y = _stripped(x, y)
+        if max(len(x), len(y)) <= m or script_cost(x, y, m) <= m:
+            out[i] = True
+        elif min(len(x), len(y)) > m:
+            width = -(-(2 * m + 1) // 64)
+            if width > WIDEST:
+                out[i] = distance(x, y) <= m
+            else:
+                open_.setdefault(width, []).append((i, x, y, m))
+        else:
+            out[i] = distance(x, y) <= m
+    for width, rows in open_.items():
+        rows.sort(key=lambda r: len(r[2]))
+        for a in range(0, len(rows), 2048):
+            part = rows[a : a + 2048]
+            out[[r[0] for r in part]] = _banded([r[1] for r in part], [r[2] for r in part], np.array([r[3] for r in part]), width)
+    return out
+
+
+def _codes(texts: Sequence[str]) -> np.ndarray:
+    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
+
+
+def _banded(xs: Sequence[str], ys: Sequence[str], most: np.ndarray, width: int) -> np.ndarray:
+    """Whether each distance is within ``most``, for many pairs at once (Hyyro, 2003: bit-parallel along a diagonal band).
+
+    A band has ``64 * width`` bits, at least ``2 * most + 1``; ``most`` is below both lengths.  The lowest bit row follows
+    the diagonal until it meets the end of ``x``, then the score is followed along the last row.
+    """
+    n, m = np.array([len(x) for x in xs]), np.array([len(y) for y in ys])
+    size, pairs, bits = len(xs), np.arange(len(xs)), 64 * width
+    left = np.full((size, int(max(n.max(), m.max())) + 2 * bits), 0xFFFFFFFF, np.uint32)
+    right = np.full((size, int(m.max())), 0xFFFFFFFE, np.uint32)
+    row = np.repeat(pairs, n)
+    left[row, np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + (bits - 1 - most)[row]] = _codes(xs)
+    row = np.repeat(pairs, m)
+    right[row, np.arange(len(row)) - np.repeat(np.cumsum(m) - m, m)] = _codes(ys)
+    right = np.ascontiguousarray(right.T)
+    one, top = np.uint64(1), np.uint64(63)
+    first = (bits - 1 - most)[None, :] - 64 * np.arange(width)[:, None]  # bits of a word from here on are set
+    up = np.where(first >= 64, np.uint64(0), np.where(first <= 0, ~np.uint64(0), ~np.uint64(0) << np.clip(first, 0, 63).astype(np.uint64)))
+    down = np.zeros((width, size), np.uint64)
+    score, turn, limit = most.copy(), n - most, 2 * most + m - n
+    live, result = pairs, np.zeros(size, bool)
+    for j in range(int(m.max())):
+        equal = np.packbits(left[:, j : j + bits] == right[j][:, None], axis=1, bitorder="little").view("<u8").T
+        summed, carry = np.empty_like(up), None
+        for w in range(width):
+            a = equal[w] & up[w]
+            s = a + up[w]
+            over = s < a
+            if carry is not None:
+                t = s + carry
+                over |= t < s
+                s = t
+            summed[w], carry = s, over.astype(np.uint64)
+        zero = (summed ^ up) | equal | down
+        plus, minus = down | ~(zero | up), zero & up
+        along = j < turn
+        score = score + np.where(along, (zero[-1] >> top) == 0, 0)
+        if not along.all():
+            bit = np.clip(bits - 2 - (j - turn), 0, bits - 1)
+            at, shift = (bit >> 6), (bit & 63).astype(np.uint64)
+            cols = np.arange(len(live))
+            step = (plus[at, cols] >> shift & one).astype(np.int64) - (minus[at, cols] >> shift & one).astype(np.int64)
+            score = score + np.where(along, 0, step)
+        slid = zero >> one
+        if width > 1:
+            slid[:-1] |= zero[1:] << top
+        up, down = minus | ~(slid | plus), slid & plus
+        ended = m == j + 1
+        result[live[ended]] = score[ended] <= most[ended]
+        gone = ended | (along & (score > limit))
+        if gone.any() and (gone.sum() * 8 > len(live) or ended.any()):
+            keep = ~gone
+            if not keep.any():
+                break
+            live, left, right, up, down = live[keep], left[keep], np.ascontiguousarray(right[:, keep]), np.ascontiguousarray(up[:, keep]), np.ascontiguousarray(down[:, keep])
+            n, m, most, score, turn, limit = n[keep], m[keep], most[keep], score[keep], turn[keep], limit[keep]
+    return result

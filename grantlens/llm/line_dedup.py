@@ -8,59 +8,159 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, materialise, small_side, spare
+from .common import chunks, integral, materialise, mix64, small_side, spare
 from .components import connected_groups
-from .edits import within
-from .fingerprints import band_pairs, normal_words, simhash
+from .edits import within_all
+from .fingerprints import distance
+from .lines import SKETCHES, features
 
-WORDS, BANDS = 2, 16  # 128 bits in 16 blocks of 8
 MOST_BITS = 28
 SIMILARITY = 0.9
+CHUNK = 512 << 10  # bytes of lines that are worked on at once
+#: Rows of one cell from which it is divided over several tasks, and rows that one task compares, about.
+HOT_ROWS, PART_ROWS, SAMPLED = 20_000, 1_000_000, 64
+NODE_BITS = 63
 
 
-def blocks(fp: np.ndarray) -> np.ndarray:
-    """(n, 16) int64: the sixteen 8-bit blocks."""
-    return np.ascontiguousarray(fp).view("u1").reshape(len(fp), BANDS).astype(np.int64)
+def _pieces(lines: pa.Array) -> Iterator[list[str]]:
+    sizes = pc.fill_null(pc.binary_length(lines), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 16
+    part = (np.cumsum(sizes) - sizes) // CHUNK
+    cuts = np.flatnonzero(np.diff(part)) + 1
+    for a, b in zip([0, *cuts], [*cuts, len(lines)]):
+        yield lines[a:b].to_pylist()
 
 
-def normal_lines(lines: pa.Array) -> pa.Array:
-    """Lower case, every run of digits one 0, every run of blanks and punctuation one blank."""
-    low = pc.replace_substring_regex(pc.utf8_lower(lines), r"[0-9]+", "0")
-    return pc.utf8_trim_whitespace(pc.replace_substring_regex(low, r"[^\p{L}\p{N}\p{M}]+", " "))
+def _doc(df: DataFrame, id_col: str, text: Column) -> Column:
+    """Names a row by its id and text."""
+    return F.struct(F.col(id_col).isNull().alias("none"), integral(df, id_col).alias("id"), F.unhex(F.md5(text)).alias("md5"))
 
 
 def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, line, key, fp, norm) of every line that is not blank when normalised.
+    """(doc, line, key, fp, sketch, norm) of every line that is not blank when normalised.
 
     ``doc`` names the row by id and text, ``line`` counts from 0, ``key`` is a 128-bit hash of the normalised line.
     """
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h = xxhash.xxh3_128_digest
-        for part in chunks(batches, "text"):
+        for part in chunks(batches, "text", CHUNK):
             lists = pc.split_pattern(part.column("text"), "\n")
             counts = np.diff(lists.offsets.to_numpy())
             owner = np.repeat(np.arange(part.num_rows), counts)
             number = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
             coded = lists.flatten().dictionary_encode()
-            norm = normal_lines(coded.dictionary)
-            fp = simhash(*normal_words(norm), len(norm), WORDS)
-            keys = pa.array([h(x) for x in norm.to_pylist()], pa.binary())
-            fps = pa.array([x.tobytes() for x in fp], pa.binary())
-            full = pc.not_equal(norm, "").to_numpy(zero_copy_only=False)
+            made = []
+            for some in _pieces(coded.dictionary):
+                norm, fp, sketch = features(some)
+                made.append(pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([h(x) for x in norm], pa.binary(16)).cast(pa.binary()), pa.array([x.tobytes() for x in fp], pa.binary()), pa.array([x.tobytes() for x in sketch], pa.binary()), pa.array(norm, pa.string()),
+                    ], ["key", "fp", "sketch", "norm"],
+                ))
+            if not made:
+                continue
+            table = pa.Table.from_batches(made).combine_chunks()
             code = coded.indices.to_numpy(zero_copy_only=False)
-            at = np.flatnonzero(full[code]) if len(code) else np.zeros(0, np.int64)
-            code = pa.array(code[at])
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc").take(pa.array(owner[at])), pa.array(number[at].astype(np.int32)), keys.take(code), fps.take(code), norm.take(code)], ["doc", "line", "key", "fp", "norm"]
-            )
+            at = np.flatnonzero(pc.not_equal(table.column("norm"), "").to_numpy()[code])
+            rows = table.take(pa.array(code[at])).combine_chunks().to_batches()
+            columns = [c for b in rows for c in b.columns] if len(rows) == 1 else [pa.array([], f.type) for f in table.schema]
+            yield pa.RecordBatch.from_arrays([part.column("doc").take(pa.array(owner[at])), pa.array(number[at].astype(np.int32)), *columns], ["doc", "line", "key", "fp", "sketch", "norm"])
 
     text = F.col(text_col).cast("string")
-    one = docs.select(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).cast("bigint").alias("id"), F.unhex(F.md5(text)).alias("md5")).alias("doc"), text.alias("text"))
-    return one.filter("text is not null").mapInArrow(make, "doc struct<none: boolean, id: bigint, md5: binary>, line int, key binary, fp binary, norm string")
+    one = docs.select(_doc(docs, id_col, text).alias("doc"), text.alias("text"))
+    return one.filter("text is not null").mapInArrow(make, "doc struct<none: boolean, id: bigint, md5: binary>, line int, key binary, fp binary, sketch binary, norm string")
+
+
+def _hot(nodes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(cells, parts of each) of the cells of more than HOT_ROWS rows, as estimated from every 64th node.
+
+    The estimate decides only how a cell's work is divided.  At most one cell in HOT_ROWS rows is hot.
+    """
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), "<u4").reshape(-1, SKETCHES).astype(np.int64)
+            cell = (sketch | np.arange(SKETCHES) << 32)[sketch > 0]
+            yield pa.RecordBatch.from_arrays([pa.array(cell)], ["cell"])
+
+    some = nodes.filter(F.pmod(F.xxhash64("node"), F.lit(SAMPLED)) == 0).select("sketch").mapInArrow(keys, "cell bigint")
+    hot = some.groupBy("cell").agg(F.count("*").alias("n")).filter(F.col("n") > HOT_ROWS // SAMPLED).orderBy("cell").toArrow()
+    return hot.column("cell").to_numpy(), -(-hot.column("n").to_numpy() * SAMPLED // HOT_ROWS)
+
+
+def sketch_pairs(nodes: DataFrame, n_rows: int, ratio: float, most: int = MOST_BITS) -> DataFrame:
+    """(a, b, bits), a < b, distinct: nodes that share a sketch, whose shorter is ``ratio`` of the longer at least, within ``most`` bits.
+
+    A cell is one bin's value; its rows are sorted by length and compared as far as lengths allow.  A hot cell of c parts is
+    divided into c * c / 2 tasks, one for each two of its parts, so that no task gets all of it and no pair is missed.
+    """
+    hot, parts_of = _hot(nodes)
+    parts = max(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-SKETCHES * n_rows // PART_ROWS))
+    record = np.dtype([("node", "<i8"), ("fp", "<u8", 2), ("len", "<i4"), ("cell", "<u4")])
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            node, length = batch.column("node").to_numpy(), batch.column("len").to_numpy()
+            fp = np.frombuffer(b"".join(batch.column("fp").to_pylist()), "<u8").reshape(-1, 2)
+            sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), "<u4").reshape(-1, SKETCHES)
+            row, band = np.nonzero(sketch)
+            cell = sketch[row, band].astype(np.int64) | band.astype(np.int64) << 32
+            place = np.zeros(len(cell), np.uint64)
+            if len(hot):
+                at = np.minimum(np.searchsorted(hot, cell), len(hot) - 1)
+                times = np.where(hot[at] == cell, parts_of[at], 1)
+                mine = (mix64(node[row].view(np.uint64), 5) % times.astype(np.uint64)).astype(np.int64)
+                again = np.repeat(np.arange(len(cell)), times)
+                other = np.arange(len(again)) - np.repeat(np.cumsum(times) - times, times)
+                row, cell, mine = row[again], cell[again], mine[again]
+                place = (np.minimum(mine, other) << 32 | np.maximum(mine, other)).astype(np.uint64)
+            group = mix64(mix64(cell.astype(np.uint64), 3) ^ place, 4)
+            out = np.empty(len(row), record)
+            out["node"], out["fp"], out["len"], out["cell"] = node[row], fp[row], length[row], (group >> np.uint64(32)).astype(np.uint32)
+            held.append(((group % np.uint64(parts)).astype(np.int32), out))
+            n += len(out)
+            if n > 500_000:
+                yield blocks(held)
+                held, n = [], 0
+        if n:
+            yield blocks(held)
+
+    def blocks(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        part, rows = np.concatenate([p for p, _ in held]), np.concatenate([r for _, r in held])
+        order = np.argsort(part, kind="stable")
+        part, rows = part[order], rows[order]
+        cuts = np.r_[0, np.flatnonzero(np.diff(part)) + 1, len(part)]
+        return pa.RecordBatch.from_arrays([pa.array(part[cuts[:-1]]), pa.array([rows[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())], ["part", "block"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [x for batch in batches for x in batch.column("block").to_pylist()]  # one part: PART_ROWS records, about
+        if not got:
+            return
+        rows = np.frombuffer(b"".join(got), record)
+        del got
+        rows = rows[np.lexsort((rows["len"], rows["cell"]))]
+        node, fp, length = rows["node"].copy(), np.ascontiguousarray(rows["fp"]), rows["len"].astype(np.int64)
+        run = rows["cell"].astype(np.int64) << 31
+        last = np.searchsorted(run | length, run | (length / ratio + 1e-6).astype(np.int64), "right")
+        live, step = np.arange(len(node)), 1
+        while len(live := live[live + step < last[live]]):
+            for at in range(0, len(live), 1 << 18):
+                i = live[at : at + (1 << 18)]
+                bits = distance(fp[i], fp[i + step])
+                near = np.flatnonzero((bits <= most) & (node[i] != node[i + step]))
+                if len(near):
+                    x, y = node[i[near]], node[i[near] + step]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(bits[near])], ["a", "b", "bits"])
+            step += 1
+
+    moved = nodes.select("node", "fp", "sketch", "len").mapInArrow(spread, "part int, block binary").repartitionById(parts, "part")
+    return moved.mapInArrow(compare, "a bigint, b bigint, bits int").distinct()
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -69,41 +169,51 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = batch.column("x").to_pylist(), batch.column("y").to_pylist()
-            near = [within(p, q, int(max(len(p), len(q)) * (1 - similarity) + 1e-9)) for p, q in zip(x, y)]
+            near = within_all(x, y, [int(max(len(p), len(q)) * (1 - similarity) + 1e-9) for p, q in zip(x, y)])
             yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
     left, right = texts.select(F.col("node").alias("a"), F.col("norm").alias("x")), texts.select(F.col("node").alias("b"), F.col("norm").alias("y"))
-    most = F.floor(F.greatest(F.length("x"), F.length("y")) * F.lit(1 - similarity) + F.lit(1e-9))
-    sized = pairs.join(left, "a").join(right, "b").filter(F.abs(F.length("x") - F.length("y")) <= most)
+    sized = pairs.join(left, "a").join(right, "b")
     return sized.select("a", "b", "x", "y").mapInArrow(check, "a bigint, b bigint")
 
 
-def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+def _numbered(keyed: DataFrame, bits: int) -> DataFrame:
+    """``keyed`` with ``node``, the leading ``bits`` of the key; where keys share them, negative numbers of their own."""
+    one = materialise(keyed.withColumn("node", F.shiftright(F.conv(F.substring(F.hex("key"), 1, 16), 16, -10).cast("bigint"), 1).bitwiseAND((1 << bits) - 1)), "line-keyed")
+    twins = materialise(one.groupBy("node").agg(F.count("*").alias("c")).filter("c > 1").select("node"), "line-twins")
+    if not twins.count():
+        return one
+    several = one.join(small_side(twins), "node", "left_semi").select("key")
+    named = materialise(several.select("key", (-1 - F.monotonically_increasing_id()).alias("other")), "line-renamed")
+    return materialise(one.join(small_side(named), "key", "left").withColumn("node", F.coalesce("other", "node")).drop("other"), "line-nodes")
+
+
+def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, node_bits: int = NODE_BITS) -> DataFrame:
     """(doc, lines): for each document the numbers of its lines that occur before, or are close to one that does.
 
-    Lines with one normalised form are one node.  Nodes whose 128-bit SimHashes share one of sixteen 8-bit blocks (any two
-    within 15 bits do), whose lengths allow it and that differ in 28 bits at most are verified: the edit distance of the normalised lines may be
-    ``1 - similarity`` of the longer at most.  Of each group that verified pairs connect, the first occurrence by
-    (id, text hash, line number) stays; NULL ids come last.  Blank lines are never dropped.
+    Lines with one normalised form are one node.  Candidates share the least word trigram of one of eight bins of trigram
+    hashes, have lengths that the similarity allows and 128-bit SimHashes that differ in 28 bits at most.  They are
+    verified: the edit distance of the normalised lines may be ``1 - similarity`` of the longer at most.  Of each group
+    that verified pairs connect, the first occurrence by (id, text hash, line number) stays; NULL ids come last.  Blank
+    lines are never dropped.
     """
     lines = materialise(line_table(docs, id_col, text_col), "lines")
     first = F.struct("doc", "line")
-    nodes = materialise(
-        lines.groupBy("key").agg(F.first("fp").alias("fp"), F.first(F.length("norm")).alias("len"), F.min(first).alias("first"), F.count("*").alias("n"))
-        .withColumn("node", F.conv(F.substring(F.hex("key"), 1, 15), 16, 10).cast("bigint")), "line-nodes",
-    )
-    pairs = materialise(band_pairs(nodes, nodes.count(), WORDS, BANDS, blocks, MOST_BITS, ratio=similarity).select("a", "b"), "line-pairs")
-    ends = materialise(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "line-ends")
-    wanted = lines.select(F.conv(F.substring(F.hex("key"), 1, 15), 16, 10).cast("bigint").alias("node"), "norm")
-    texts = materialise(wanted.join(small_side(ends), "node", "left_semi").groupBy("node").agg(F.min("norm").alias("norm")), "line-texts")
-    # pairs within a group that verified pairs connect need no look: each node's pair with its smallest partner goes first
-    least = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    early = materialise(_verified(least, texts, similarity), "line-early")
+    keyed = lines.groupBy("key").agg(F.first("fp").alias("fp"), F.first("sketch").alias("sketch"), F.first(F.length("norm")).alias("len"), F.min(first).alias("first"), F.count("*").alias("n"))
+    nodes = _numbered(keyed, node_bits)
+    pairs = materialise(sketch_pairs(nodes, nodes.count(), similarity), "line-pairs")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    ends = materialise(nodes.select("node", "key").join(small_side(materialise(ends, "line-ends")), "node", "left_semi"), "line-end-keys")
+    texts = materialise(lines.select("key", "norm").join(small_side(ends), "key").groupBy("node").agg(F.first("norm").alias("norm")), "line-texts")
+    # pairs within a group that verified pairs connect need no look: each node's pair with its smallest and its closest partner goes first
+    least = pairs.groupBy("b").agg(F.min("a").alias("a"), F.min_by("a", F.struct("bits", "a")).alias("near"))
+    soon = materialise(least.select("b", F.explode(F.array_distinct(F.array("a", "near"))).alias("a")).select("a", "b"), "line-soon")
+    early = materialise(_verified(soon, texts, similarity), "line-early")
     known = connected_groups(early)
     one, two = known.select(F.col("node").alias("a"), F.col("root").alias("root_a")), known.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
     apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
     rest = pairs.join(small_side(one), "a", "left").join(small_side(two), "b", "left").filter(apart).select("a", "b")
-    late = _verified(rest.join(least.withColumnRenamed("a", "seen"), "b").filter("a <> seen").select("a", "b"), texts, similarity)
+    late = _verified(rest.join(soon, ["a", "b"], "left_anti"), texts, similarity)
     groups = connected_groups(early.unionByName(late))
     rooted = nodes.select("node", "key", "first", "n").join(small_side(groups), "node", "left").filter("n > 1 or root is not null")
     touched = materialise(rooted.select("key", "first", F.coalesce("root", "node").alias("root")), "line-touched")
@@ -113,16 +223,18 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return occurrences.filter(first != F.col("kept")).groupBy("doc").agg(F.array_sort(F.collect_set("line")).alias("lines"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, node_bits: int = NODE_BITS) -> DataFrame:
     """``docs`` with each repeated or nearly repeated line removed from the text but for its first occurrence, and ``lines_removed``.
 
-    All rows and columns stay; a NULL text stays NULL, a text of which every line goes becomes empty.  Rows that repeat
-    id and text are one document: they lose the same lines.
+    All rows and columns stay, but a column called ``lines_removed`` is replaced.  A NULL text stays NULL, a text of which
+    every line goes becomes empty; an empty table stays empty.  Rows that repeat id and text are one document: they lose
+    the same lines.  NULL ids come after all others; ids must be integers (ValueError).  Texts and lines of any length
+    are compared whole.
     """
     doc, lines = spare(docs, "doc", "lines")
-    gone = materialise(dropped_lines(docs, id_col, text_col, similarity).select(F.col("doc").alias(doc), F.col("lines").alias(lines)), "line-gone")
+    gone = materialise(dropped_lines(docs, id_col, text_col, similarity, node_bits).select(F.col("doc").alias(doc), F.col("lines").alias(lines)), "line-gone")
     text = F.col(text_col).cast("string")
-    tagged = docs.withColumn(doc, F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).cast("bigint").alias("id"), F.unhex(F.md5(text)).alias("md5")))
+    tagged = docs.withColumn(doc, _doc(docs, id_col, text))
     joined = tagged.withColumn(doc, F.to_json(doc)).join(small_side(gone.withColumn(doc, F.to_json(doc))), doc, "left")
     left = F.array_join(F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains(F.col(lines), i)), "\n")
     return joined.withColumns({text_col: F.when(F.col(lines).isNull(), text).otherwise(left), "lines_removed": F.coalesce(F.size(lines), F.lit(0))}).select(

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from grantlens.llm import ann, edits, fingerprints, langid, line_dedup, lm_scoring, packing, sharding, simhash_dedup, warc
+from grantlens.llm import ann, edits, fingerprints, langid, line_dedup, lines, lm_scoring, packing, sharding, simhash_dedup, warc
 from grantlens.llm.common import fresh_path
 from grantlens.llm.components import connected_groups
 
@@ -160,11 +160,49 @@ def test_lines_by_edit_distance(spark):
     assert len(gone) >= 27 and all(r.text for r in got if r.doc_id < 100)
 
 
+def test_many_edit_distances():
+    rng = random.Random(1)
+    words = "alpha beta gamma delta epsilon zeta eta theta".split()
+    xs, ys = [], []
+    for _ in range(500):
+        a = [rng.choice(words) + rng.choice(["", "é", "𝒳"]) for _ in range(rng.choice([1, 3, 8, 20, 40, 90]))]
+        b = list(a)
+        for _ in range(rng.randint(0, max(1, len(a) // 5))):
+            i = rng.randrange(len(b))
+            b[i : i + rng.randint(0, 1)] = [rng.choice(words)] * rng.randint(0, 2)
+        xs.append(" ".join(a)), ys.append(" ".join(b))
+    most = [int(max(len(x), len(y)) * 0.1) for x, y in zip(xs, ys)]
+    want = [edits.distance(x, y) <= m for x, y, m in zip(xs, ys, most)]
+    assert edits.within_all(xs, ys, most).tolist() == want and 0.1 < np.mean(want) < 0.9
+
+
+def test_line_features():
+    raw = ["The  cat, sat: 12.50 times!", "", "...", "Ünï «code» 7𝒳 ٣٤", "a", " lead and trail ", "x" * 3000, "the cat sat 9 7 times"]
+    normal, fp, sketch = lines.features(raw)
+    assert normal == ["the cat sat 0 0 times", "", "", "ünï code 0𝒳 ٣٤", "a", "lead and trail", "x" * 3000, "the cat sat 0 0 times"]
+    assert normal == lines.normal_lines(pa.array(raw)).to_pylist() and (fp[0] == fp[7]).all() and (sketch[0] == sketch[7]).all()
+    assert not sketch[1].any() and not fp[2].any() and all(sketch[i].any() for i in (0, 3, 4, 5, 6))
+
+
+def test_lines_do_not_depend_on_the_division(spark, monkeypatch):
+    rng = random.Random(9)
+    rows, kinds = [], [" ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(20)) for _ in range(60)]
+    for k in range(240):  # one hot cell: all begin alike; four lines of each kind
+        t = "all rights reserved by " + kinds[k % 60]
+        rows.append((k, t + rng.choice(["", " it", " so"])))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = sorted(tuple(r) for r in line_dedup.dedup_lines(docs).collect())
+    assert sum(r[2] for r in want) == 180
+    monkeypatch.setattr(line_dedup, "HOT_ROWS", 20), monkeypatch.setattr(line_dedup, "SAMPLED", 1)
+    assert sorted(tuple(r) for r in line_dedup.dedup_lines(docs).collect()) == want
+    assert sorted(tuple(r) for r in line_dedup.dedup_lines(docs, node_bits=5).collect()) == want  # many keys share a number
+
+
 def test_real_lines_by_edit_distance(spark):
     texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect() if r.text]
-    lines = sorted({x for t in texts for x in t.split("\n") if 6 <= len(x.split()) <= 25})
-    norm = line_dedup.normal_lines(pa.array(lines)).to_pylist()
-    lines, norm = zip(*{n: (x, n) for x, n in zip(lines, norm) if n}.values())
+    raw = sorted({x for t in texts for x in t.split("\n") if 6 <= len(x.split()) <= 25})
+    norm = lines.normal_lines(pa.array(raw)).to_pylist()
+    raw, norm = zip(*{n: (x, n) for x, n in zip(raw, norm) if n}.values())
     parts = [Counter(n) for n in norm]
     order = sorted(range(len(norm)), key=lambda i: len(norm[i]))
     near = {}
@@ -176,7 +214,7 @@ def test_real_lines_by_edit_distance(spark):
             if (parts[j] - parts[i]).total() <= most and edits.within(norm[i], norm[j], most):
                 near.setdefault(i, []).append(j), near.setdefault(j, []).append(i)
     want, seen = set(), set()
-    for i in range(len(lines)):
+    for i in range(len(raw)):
         if i in seen:
             want.add(i)
         todo = [i] if i in near else []
@@ -184,7 +222,7 @@ def test_real_lines_by_edit_distance(spark):
             if (x := todo.pop()) not in seen:
                 seen.add(x)
                 todo += near[x]
-    rows = spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string")
+    rows = spark.createDataFrame(list(enumerate(raw)), "doc_id bigint, text string")
     gone = {r.doc_id for r in line_dedup.dedup_lines(rows).collect() if r.lines_removed}
     assert len(want) > 30 and gone <= want and len(gone) >= 0.95 * len(want)
 

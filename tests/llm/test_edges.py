@@ -71,7 +71,14 @@ def test_lines(docs, none):
     got = {r.doc_id: r for r in line_dedup.dedup_lines(docs.filter("doc_id is not null and doc_id <> 2")).collect()}
     assert got[4].text is None and got[3].text == "" and got[9].lines_removed == 1
     assert got[9].text == "der Hund und die Katze\nthe cat sat\n\n" and got[6].text == LONG
+    every = line_dedup.dedup_lines(docs.withColumn("lines_removed", F.lit("x")))  # NULL ids last, repeated rows alike, a clashing name
+    assert every.columns.count("lines_removed") == 1
+    assert sorted((str(r.doc_id), str(r.text), r.lines_removed) for r in every.collect() if r.doc_id in (1, 2, None)) == [
+        ("1", "the cat sat on the mat with the hat", 0), ("2", "", 1), ("2", "", 1), ("None", "", 1), ("None", "None", 0)
+    ]
     assert line_dedup.dedup_lines(none).count() == 0
+    with pytest.raises(ValueError):
+        line_dedup.dedup_lines(docs.withColumn("doc_id", F.lit("u-1")))
 
 
 def test_scoring(docs, none):
