@@ -19,6 +19,7 @@ FIT_ROWS = 1500
 SLOTS = 1 << 18  # hashed byte trigrams
 #: Trigrams overlap and repeat, so n of them count as n * FULL / (n + FULL) independent ones.
 FULL = 150.0
+CHUNK = 512 << 10  # bytes of text that are worked on at once
 KAPPA = 20.0  # pseudo-counts that a parent's prior adds to its child's counts
 LEAST = 0.5  # least posterior of an accepted language
 
@@ -48,7 +49,7 @@ class TextModel:
         """((n, langs + 1) summed log-likelihoods, trigrams of each row)."""
         rows, slots = trigrams(texts)
         n = np.bincount(rows, minlength=len(texts))
-        cols = [np.bincount(rows, self.table[:, k][slots], len(texts)) for k in range(self.table.shape[1])]
+        cols = [np.bincount(rows, np.ascontiguousarray(self.table[:, k])[slots], len(texts)) for k in range(self.table.shape[1])]
         return np.stack(cols, axis=1), n
 
 
@@ -62,7 +63,7 @@ def fit(labelled: DataFrame, text_col: str, label_col: str, key_col: str, langs:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(langs), SLOTS), np.int64)
-        for part in chunks(batches, "text"):
+        for part in chunks(batches, "text", CHUNK):
             row, slot = trigrams(part.column("text"))
             lab = np.array([langs.index(x) for x in part.column("label").to_pylist()])
             np.add.at(total, (lab[row], slot), 1) if len(row) < 1000 else total.__iadd__(np.bincount(lab[row] * SLOTS + slot.astype(np.int64), minlength=total.size).reshape(total.shape))
@@ -106,7 +107,7 @@ def evidence(rows: DataFrame, model: TextModel, key: Column, text: Column, decla
     width = len(model.langs) + 1
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(batches, "text"):
+        for part in chunks(batches, "text", CHUNK):
             total, n = model.score(part.column("text"))
             ll = np.where(n[:, None] > 0, total / np.maximum(n, 1)[:, None] * (n * FULL / (n + FULL))[:, None], 0.0)
             ll -= ll.max(axis=1, keepdims=True)
@@ -191,7 +192,7 @@ def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The rows of ``docs``, all columns, whose language is accepted.
 
     A NULL, empty or blank text has no language and goes.  NULL ids, sources and declarations are legal; an empty table
-    stays empty.  The text goes through Python once, for its score, and is never shuffled.
+    stays empty.  Texts of any length count whole.  The text goes through Python once, for its score, and is never shuffled.
     """
     found = identify_documents(docs, id_col, text_col, declared_col, host_col)
     (key,) = spare(docs, "key")
@@ -200,16 +201,25 @@ def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def label_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", declared_col: str = "lang", host_col: str = "source") -> DataFrame:
-    """(id, declared, detected, posterior) of the rows whose language is accepted."""
-    found = identify_documents(docs, id_col, text_col, declared_col, host_col).filter("accepted")
-    key, lang, posterior, ok = spare(docs, "key", "lang", "posterior", "accepted")
+    """(id, declared, detected, posterior, accepted) of every row.
+
+    Texts that are NULL, empty, blank or like no known language are ``und`` and not accepted.  NULL ids, sources and
+    declarations are legal, a NULL one says nothing; rows that repeat id and text are labelled alike; among equal
+    posteriors the language that comes first wins; a text of any length counts whole; an empty table gives an empty one.
+    """
+    found = identify_documents(docs, id_col, text_col, declared_col, host_col)
+    (key,) = spare(docs, "key")
     tagged = docs.select(F.col(id_col), F.col(declared_col).alias("declared"), row_key(F.col(id_col), F.col(text_col).cast("string")).alias(key))
-    right = found.select(F.col("key").alias(key), F.col("lang").alias("detected"), F.round("posterior", 6).alias("posterior"))
-    return tagged.join(small_side(right), key).select(F.col(id_col), "declared", "detected", "posterior")
+    right = found.select(F.col("key").alias(key), F.col("lang").alias("detected"), F.round("posterior", 6).alias("posterior"), "accepted")
+    return tagged.join(small_side(right), key).select(F.col(id_col), "declared", "detected", "posterior", "accepted")
 
 
 def label_pages(pages: DataFrame, labelled: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(id, host, declared, detected, posterior, accepted) of every page; the text model is fitted on ``labelled`` documents."""
+    """(id, host, declared, detected, posterior, accepted) of every page; the text model is fitted on ``labelled`` documents.
+
+    Pages without visible text (NULL, empty, markup alone) are ``und`` and not accepted.  A NULL or odd address has no
+    host and no suffix; rows that repeat id and text are labelled alike; no pages, no rows.
+    """
     model = fit(labelled, "text", "lang", "doc_id")
     one = pages.select(F.col(id_col).alias("id"), visible_text(F.col(html_col)).alias("text"), declared_in(F.col(html_col)).alias("declared"), host_of(F.col(url_col)).alias("host"))
     found = identify(one, model, "id", F.col("text"), F.col("declared"), None, F.col("host"))

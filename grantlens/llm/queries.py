@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from . import ann, exact_dedup, langid, line_dedup, lm_scoring, mixing, packing, sharding, simhash_dedup, warc
 
 BUDGETS = (0.25, 0.5, 1.0)
+#: Target weights of sources; others weigh DEFAULT_WEIGHT.
+WEIGHTS, DEFAULT_WEIGHT = {"src0": 3.0, "src1": 2.0, "src2": 0.5}, 1.0
 SHARDS, SHARDS_AFTER = 1024, 1152
 
 
@@ -17,7 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_levels(table(spark, sf_dir, "documents"), BUDGETS)
+    return mixing.mix_levels(table(spark, sf_dir, "documents"), BUDGETS, WEIGHTS, DEFAULT_WEIGHT)
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,11 +84,13 @@ ORACLE: dict[str, str] = {
     "op1_mix_sources": """
 WITH c AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^ \\t\\r\\n]+')), 0)::BIGINT AS n_tokens,
                   ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'text:' || text, 'null')), 1, 15))::BIGINT AS h FROM documents),
-     t AS (SELECT sum(n_tokens)::DOUBLE AS total, count(DISTINCT source) + max((source IS NULL)::INT) AS k FROM c),
-     r AS (SELECT doc_id, source, n_tokens, sum(n_tokens) OVER (PARTITION BY source ORDER BY h RANGE UNBOUNDED PRECEDING) AS up_to FROM c)
+     w AS (SELECT source, (CASE source WHEN 'src0' THEN 3.0 WHEN 'src1' THEN 2.0 WHEN 'src2' THEN 0.5 ELSE 1.0 END)::DOUBLE AS weight FROM c GROUP BY source),
+     t AS (SELECT (SELECT sum(n_tokens)::DOUBLE FROM c) AS total, (SELECT sum(weight) FROM w) AS k),
+     r AS (SELECT doc_id, source, n_tokens, sum(n_tokens) OVER (PARTITION BY source ORDER BY h RANGE UNBOUNDED PRECEDING) AS up_to FROM c),
+     x AS (SELECT r.*, weight, total, k FROM r JOIN w ON r.source IS NOT DISTINCT FROM w.source, t)
 SELECT doc_id, source, n_tokens,
-       CASE WHEN up_to <= floor(total * 0.25 / k) THEN 0 WHEN up_to <= floor(total * 0.5 / k) THEN 1 ELSE 2 END::INTEGER AS level
-FROM r, t WHERE up_to <= floor(total * 1.0 / k)""",
+       CASE WHEN up_to <= floor(total * 0.25::DOUBLE * weight / k) THEN 0 WHEN up_to <= floor(total * 0.5::DOUBLE * weight / k) THEN 1 ELSE 2 END::INTEGER AS level
+FROM x WHERE up_to <= floor(total * 1.0::DOUBLE * weight / k)""",
     "op2_exact_dedup": """
 SELECT * FROM documents QUALIFY text IS NULL OR row_number() OVER (PARTITION BY text ORDER BY doc_id NULLS LAST) = 1""",
     "op3_jump_shards": f"""

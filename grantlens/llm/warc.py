@@ -8,18 +8,20 @@ import json
 import uuid
 import zlib
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_path, hash60
+from .common import fresh_path, hash60, integral
 
-ROLL_BYTES = 1 << 30  # a file is closed by the first record that would take it beyond this compressed size
-SHARD_BYTES = 256 << 20  # uncompressed bytes of one range of records, about
-MOST_SHARDS = 16_384
-SAMPLES = 32  # keys for each shard from which ranges are cut
+#: A file is closed by the first record that would take it beyond ROLL_BYTES of compressed size.  A range of records has
+#: about RANGE_BYTES of text: one task's work, which compresses to about one file.
+ROLL_BYTES, RANGE_BYTES = 32 << 20, 128 << 20
+#: Keys for each range from which ranges are cut; of all ranges together, as long as each has two.
+SAMPLES, ALL_SAMPLES = 32, 4_000_000
 DATE = "2020-01-01T00:00:00Z"  # capture date where none is known: one that does not depend on the run
 SOFTWARE = "grantlens"
 
@@ -49,12 +51,13 @@ def response(url: str | None, row_id: int | None, html: str | None, date: str =
     payload = (html or "").encode()
     target = url if url else f"urn:row:{row_id}"
     target = "".join(c if c.isprintable() and c != " " else "".join(f"%{b:02X}" for b in c.encode()) for c in target)
+    exact = [] if url is None or url == target else [("X-Row-URL", base64.b64encode(url.encode()).decode())]  # an address that is no legal target
     block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode() + payload
     digest = _digest(payload)
     name = uuid.UUID(bytes=hashlib.md5(f"{target}\n{row_id}\n{digest}".encode()).digest(), version=4)
     head = [
         ("WARC-Type", "response"), ("WARC-Record-ID", f"<urn:uuid:{name}>"), ("WARC-Date", date), ("WARC-Target-URI", target), ("WARC-Payload-Digest", digest), ("WARC-Block-Digest", _digest(block)),
-        ("X-Row-ID", "" if row_id is None else str(row_id)), ("X-Row-Nulls", ("u" if url is None else "") + ("h" if html is None else "")), ("Content-Type", "application/http; msgtype=response"),
+        ("X-Row-ID", "" if row_id is None else str(row_id)), ("X-Row-Nulls", ("u" if url is None else "") + ("h" if html is None else "")), *exact, ("Content-Type", "application/http; msgtype=response"),
     ]
     return member(head, block), digest
 
@@ -66,36 +69,48 @@ def info(name: str, date: str = DATE) -> bytes:
     return member(head, block)
 
 
-def _bounds(keys: DataFrame, shard_bytes: int) -> list[str]:
-    """Keys that cut the table into ranges of about equal bytes: quantiles of a sample chosen by hash, the same each time."""
+def _bounds(keys: DataFrame, range_bytes: int) -> list[str]:
+    """Keys that cut the table into ranges of about equal bytes: quantiles of a sample chosen by hash, the same each time.
+
+    The driver gets SAMPLES keys for each range, or ALL_SAMPLES in all where that is less, but two for each range.
+    """
     n, size = keys.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
-    shards = int(min(MOST_SHARDS, max(1, -(-size // shard_bytes))))
-    if shards == 1:
+    ranges = max(1, -(-size // range_bytes))
+    if ranges == 1:
         return []
-    part = min(1.0, shards * SAMPLES / n)
-    rows = keys.filter(F.col("h") < int(part * (1 << 60))).select("key").toArrow().column("key").to_pylist()  # SAMPLES for each shard, about
-    rows.sort(key=lambda x: x.encode())
-    return sorted({rows[len(rows) * k // shards] for k in range(1, shards)}, key=lambda x: x.encode()) if rows else []
+    part = min(1.0, max(2 * ranges, min(ranges * SAMPLES, ALL_SAMPLES)) / n)
+    got = keys.filter(F.col("h") < int(part * (1 << 60))).select("key", "size").toArrow()
+    rows = sorted(zip((x.encode() for x in got.column("key").to_pylist()), got.column("size").to_pylist()))
+    total, seen, out = sum(x for _, x in rows), 0, []
+    for key, x in rows:
+        if seen * ranges >= total * (len(out) + 1):
+            out.append(key)
+        seen += x
+    return [x.decode() for x in sorted(set(out))]
 
 
 def write_warc(
-    pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", roll_bytes: int = ROLL_BYTES, shard_bytes: int = SHARD_BYTES, date: str = DATE,
+    pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", roll_bytes: int = ROLL_BYTES, range_bytes: int = RANGE_BYTES, date: str = DATE,
 ) -> DataFrame:
     """Writes ``pages`` to ``path`` and returns (file, offset, length, id, url, payload_digest), the index of its records.
 
-    Records are sorted by (reversed host and path, id, html) across all files ``part-<range>-<number>.warc.gz``.  They are
-    compressed before they are moved, so that a range is cut into files by exact compressed size.  A task writes under
-    a temporary name of its own and renames each finished file; the same input gives the same bytes, so a repeated task
-    only replaces a file by its equal.  The manifest (index, then ``_MANIFEST.json`` with each file's size, records and
-    SHA-256) is renamed last: without it a reader sees nothing.
+    Records are sorted by (reversed host and path, id, hash of the html) across all files ``part-<range>-<number>.warc.gz``;
+    ranges are cut by that whole key, so that one address's many rows are not one task's.  They are compressed before they
+    are moved, so that a range is cut into files by exact compressed size.  A task writes under a temporary name of its
+    own and renames each finished file; the same input gives the same bytes, so a repeated task only replaces a file by
+    its equal.  The manifest (index, then ``_MANIFEST.json`` with each file's size, records and SHA-256) is renamed last:
+    without it a reader sees nothing.  What failed tasks left under temporary names is deleted then.
 
-    NULL ids, addresses and texts are written and read back as such; repeated rows are all written; an empty table gives
-    no files and an empty manifest.  Other columns are not stored.  One record larger than ``roll_bytes`` has a file of its own.
+    NULL ids, addresses and texts and empty ones are written and read back as such; an address that is no legal target is
+    kept in a header of its own; repeated rows are all written; an empty table gives no files and an empty manifest.  Other
+    columns are not stored.  One record larger than ``roll_bytes`` has a file of its own.  Ids must be integers (ValueError).
     """
     spark = pages.sparkSession
-    one = pages.select(F.col(id_col).cast("bigint").alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
-    sized = one.select(sort_key(F.col("url")).alias("key"), F.coalesce(F.octet_length("html"), F.lit(0)).cast("bigint").alias("size"), hash60(F.concat_ws("\x1f", F.col("id").cast("string"), "url")).alias("h"))
-    bounds = _bounds(sized, shard_bytes)
+    one = pages.select(integral(pages, id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
+    number = F.lpad(F.hex(F.col("id").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")  # sorts as the id does
+    key = F.concat(sort_key(F.col("url")), F.lit("\0"), F.coalesce(number, F.lit("")), F.lit("\0"), F.md5(F.coalesce("html", F.lit("")))).alias("key")
+    sized = one.select(key, (F.coalesce(F.octet_length("html"), F.lit(0)) + 400).cast("bigint").alias("size"), hash60(F.concat_ws("\x1f", F.col("id").cast("string"), "url", F.md5("html"))).alias("h"))
+    bounds = _bounds(sized, range_bytes)
     edges = [x.encode() for x in bounds]
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,9 +168,9 @@ def write_warc(
 
     fs, root = pafs.FileSystem.from_uri(path)
     fs.create_dir(root, recursive=True)
-    keyed = one.select(sort_key(F.col("url")).alias("key"), "id", "url", "html")
+    keyed = one.select(key, "id", "url", "html")
     records = keyed.mapInArrow(make, "shard int, key string, id bigint, url string, payload_digest string, record binary")
-    together = records.repartitionById(len(bounds) + 1, "shard").sortWithinPartitions("shard", "key", "id", "payload_digest", "record")
+    together = records.repartitionById(len(bounds) + 1, "shard").sortWithinPartitions("shard", "key", "record")
     written = together.mapInArrow(write, "file string, offset bigint, length bigint, id bigint, url string, payload_digest string, file_bytes bigint, file_sha256 string")
     staged, final = f"{path}/_tmp-index-{uuid.uuid4().hex}", f"{path}/_index"
     written.write.parquet(staged)
@@ -165,6 +180,9 @@ def write_warc(
     with fs.open_output_stream(f"{root}/_tmp-manifest", compression=None) as f:
         f.write(json.dumps({"files": files}, indent=1).encode())
     fs.move(f"{root}/_tmp-manifest", f"{root}/_MANIFEST.json")
+    for left in fs.get_file_info(pafs.FileSelector(root)):
+        if left.base_name.startswith("_tmp-"):
+            fs.delete_file(left.path) if left.is_file else fs.delete_dir(left.path)
     return index.select("file", "offset", "length", "id", "url", "payload_digest").withColumnRenamed("id", id_col)
 
 
@@ -177,13 +195,17 @@ def _rename(spark: SparkSession, old: str, new: str) -> None:
         raise OSError(f"{old} could not be renamed to {new}")
 
 
-def parse_members(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, block) of each record of a file."""
-    while data:
-        z = zlib.decompressobj(31)
-        raw = z.decompress(data) + z.flush()
-        data = z.unused_data
-        head, _, rest = raw.partition(b"\r\n\r\n")
+def parse_members(file: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(headers, block) of each record of a file, which is read piece by piece."""
+    data = b""
+    while data := data or file.read(1 << 18):
+        z, raw = zlib.decompressobj(31), []
+        while not z.eof:
+            if not data and not (data := file.read(1 << 18)):
+                raise ValueError("the file ends within a record")
+            raw.append(z.decompress(data))
+            data = z.unused_data
+        head, _, rest = b"".join(raw).partition(b"\r\n\r\n")
         fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
         yield fields, rest[: int(fields["Content-Length"])]
 
@@ -195,22 +217,28 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         files = [x["file"] for x in json.loads(f.read())["files"]]
     names = spark.createDataFrame([(x,) for x in files], "file string").repartition(max(1, len(files)))
 
+    def batch_of(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.string(), pa.string(), pa.string()))], ["page_id", "url", "html", "payload_digest"])
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pafs.FileSystem.from_uri(path)
         for batch in batches:
             for name in batch.column("file").to_pylist():
-                with fs.open_input_stream(f"{root}/{name}", compression=None) as f:
-                    data = f.read()
                 out: list[tuple] = []
-                for head, block in parse_members(data):
-                    if _digest(block) != head["WARC-Block-Digest"]:
-                        raise ValueError(f"{name}: a record differs from its digest")
-                    if head["WARC-Type"] != "response":
-                        continue
-                    payload, nulls = block.partition(b"\r\n\r\n")[2], head["X-Row-Nulls"]
-                    out.append((int(head["X-Row-ID"]) if head["X-Row-ID"] else None, None if "u" in nulls else head["WARC-Target-URI"], None if "h" in nulls else payload.decode(), head["WARC-Payload-Digest"]))
+                with fs.open_input_stream(f"{root}/{name}", compression=None) as f:
+                    for head, block in parse_members(f):
+                        if _digest(block) != head["WARC-Block-Digest"]:
+                            raise ValueError(f"{name}: a record differs from its digest")
+                        if head["WARC-Type"] != "response":
+                            continue
+                        payload, nulls = block.partition(b"\r\n\r\n")[2], head["X-Row-Nulls"]
+                        url = base64.b64decode(head["X-Row-URL"]).decode() if "X-Row-URL" in head else head["WARC-Target-URI"]
+                        out.append((int(head["X-Row-ID"]) if head["X-Row-ID"] else None, None if "u" in nulls else url, None if "h" in nulls else payload.decode(), head["WARC-Payload-Digest"]))
+                        if len(out) == 512:
+                            yield batch_of(out)
+                            out = []
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.string(), pa.string(), pa.string()))], ["page_id", "url", "html", "payload_digest"])
+                    yield batch_of(out)
 
     return names.mapInArrow(read, "page_id bigint, url string, html string, payload_digest string")
 
