@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -94,7 +95,27 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit("[^ \\t\\r\\n]+")), F.lit(0)).cast("bigint")
 
 
-# ---- inside Python workers ------------------------------------------------------------------------------------------
+# ---- inside Python workers
+
+
+def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``work`` for mapInArrow, after which the worker, which waits for its next task, gives its free memory back."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # another C library
+            pass
+
+    return run
+
+
+def fixed(x: np.ndarray) -> pa.Array:
+    """Each row of ``x`` as its bytes."""
+    width = x.dtype.itemsize * (x.shape[1] if x.ndim > 1 else 1)
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), len(x), [None, pa.py_buffer(np.ascontiguousarray(x))]).cast(pa.binary())
 
 
 def chunks(batches: Iterator[pa.RecordBatch], text: str, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:

@@ -11,11 +11,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, integral, materialise, mix64, small_side, spare
+from .common import chunks, integral, materialise, mix64, small_side, spare, tidy
 from .components import connected_groups
 from .edits import within_all
 from .fingerprints import distance
-from .lines import SKETCHES, features
+from .lines import SKETCHES, features, normal_lines
 
 MOST_BITS = 28
 SIMILARITY = 0.9
@@ -25,6 +25,10 @@ HOT_ROWS, PART_ROWS, SAMPLED = 20_000, 1_000_000, 64
 NODE_BITS = 63
 
 
+#: A node's features as they are moved and grouped: two words of the fingerprint, four of the sketch (eight minima).
+FEATURES = [*(f"f{k}" for k in range(2)), *(f"s{k}" for k in range(SKETCHES // 2))]
+
+
 def _pieces(lines: pa.Array) -> Iterator[list[str]]:
     sizes = pc.fill_null(pc.binary_length(lines), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 16
     part = (np.cumsum(sizes) - sizes) // CHUNK
@@ -39,10 +43,12 @@ def _doc(df: DataFrame, id_col: str, text: Column) -> Column:
 
 
 def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, line, key, fp, sketch, norm) of every line that is not blank when normalised.
+    """(doc, line, key, len, *FEATURES) of every line that is not blank when normalised.
 
-    ``doc`` names the row by id and text, ``line`` counts from 0, ``key`` is a 128-bit hash of the normalised line.
+    ``doc`` names the row by id and text, ``line`` counts from 0, ``key`` is a 128-bit hash of the normalised line, ``len``
+    its length.
     """
+    names = ["key", "len", *FEATURES]
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h = xxhash.xxh3_128_digest
@@ -52,26 +58,38 @@ def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             owner = np.repeat(np.arange(part.num_rows), counts)
             number = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
             coded = lists.flatten().dictionary_encode()
-            made = []
+            if not len(coded):
+                continue
+            keys, made = [], []
             for some in _pieces(coded.dictionary):
                 norm, fp, sketch = features(some)
-                made.append(pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([h(x) for x in norm], pa.binary(16)).cast(pa.binary()), pa.array([x.tobytes() for x in fp], pa.binary()), pa.array([x.tobytes() for x in sketch], pa.binary()), pa.array(norm, pa.string()),
-                    ], ["key", "fp", "sketch", "norm"],
-                ))
-            if not made:
-                continue
-            table = pa.Table.from_batches(made).combine_chunks()
+                keys += [h(x) for x in norm]
+                made.append(np.column_stack([np.array([len(x) for x in norm], np.int64), fp.view(np.int64), sketch.view(np.int64)]))
+            rows = np.concatenate(made)
             code = coded.indices.to_numpy(zero_copy_only=False)
-            at = np.flatnonzero(pc.not_equal(table.column("norm"), "").to_numpy()[code])
-            rows = table.take(pa.array(code[at])).combine_chunks().to_batches()
-            columns = [c for b in rows for c in b.columns] if len(rows) == 1 else [pa.array([], f.type) for f in table.schema]
-            yield pa.RecordBatch.from_arrays([part.column("doc").take(pa.array(owner[at])), pa.array(number[at].astype(np.int32)), *columns], ["doc", "line", "key", "fp", "sketch", "norm"])
+            at = np.flatnonzero(rows[code, 0] > 0)
+            code = code[at]
+            columns = [pa.array(rows[code, k].astype(np.int32) if k == 0 else rows[code, k]) for k in range(rows.shape[1])]
+            yield pa.RecordBatch.from_arrays([part.column("doc").take(pa.array(owner[at])), pa.array(number[at].astype(np.int32)), pa.array(keys, pa.binary()).take(pa.array(code)), *columns], ["doc", "line", *names])
 
     text = F.col(text_col).cast("string")
     one = docs.select(_doc(docs, id_col, text).alias("doc"), text.alias("text"))
-    return one.filter("text is not null").mapInArrow(make, "doc struct<none: boolean, id: bigint, md5: binary>, line int, key binary, fp binary, sketch binary, norm string")
+    wide = ", ".join(f"{c} bigint" for c in FEATURES)
+    return one.filter("text is not null").mapInArrow(tidy(make), f"doc struct<none: boolean, id: bigint, md5: binary>, line int, key binary, len int, {wide}")
+
+
+def _order() -> Column:
+    """Where a line stands: one number that sorts as (id, NULLs last, text hash, line), for a hash aggregation."""
+    big = lambda x: x.cast("decimal(38,0)")
+    number = F.coalesce(big(F.col("doc.id")) + big(F.lit("9223372036854775808")), big(F.lit("18446744073709551616")))
+    text = F.conv(F.substring(F.hex("doc.md5"), 1, 6), 16, 10).cast("bigint")
+    return big(number * big(F.lit(1 << 55)) + big(text * F.lit(1 << 31) + F.col("line")))
+
+
+def _features(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(fingerprints, sketches)."""
+    both = [np.column_stack([batch.column(c).to_numpy() for c in FEATURES if c[0] == kind and c in batch.schema.names] or [np.zeros((batch.num_rows, 0), np.int64)]) for kind in "fs"]
+    return both[0].view(np.uint64), both[1].view(np.uint32)
 
 
 def _hot(nodes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -82,11 +100,11 @@ def _hot(nodes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), "<u4").reshape(-1, SKETCHES).astype(np.int64)
+            sketch = _features(batch)[1].astype(np.int64)
             cell = (sketch | np.arange(SKETCHES) << 32)[sketch > 0]
             yield pa.RecordBatch.from_arrays([pa.array(cell)], ["cell"])
 
-    some = nodes.filter(F.pmod(F.xxhash64("node"), F.lit(SAMPLED)) == 0).select("sketch").mapInArrow(keys, "cell bigint")
+    some = nodes.filter(F.pmod(F.xxhash64("node"), F.lit(SAMPLED)) == 0).select(*FEATURES[2:]).mapInArrow(keys, "cell bigint")
     hot = some.groupBy("cell").agg(F.count("*").alias("n")).filter(F.col("n") > HOT_ROWS // SAMPLED).orderBy("cell").toArrow()
     return hot.column("cell").to_numpy(), -(-hot.column("n").to_numpy() * SAMPLED // HOT_ROWS)
 
@@ -107,8 +125,7 @@ def sketch_pairs(nodes: DataFrame, n_rows: int, ratio: float, most: int = MOST_B
             if not batch.num_rows:
                 continue
             node, length = batch.column("node").to_numpy(), batch.column("len").to_numpy()
-            fp = np.frombuffer(b"".join(batch.column("fp").to_pylist()), "<u8").reshape(-1, 2)
-            sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), "<u4").reshape(-1, SKETCHES)
+            fp, sketch = _features(batch)
             row, band = np.nonzero(sketch)
             cell = sketch[row, band].astype(np.int64) | band.astype(np.int64) << 32
             place = np.zeros(len(cell), np.uint64)
@@ -159,8 +176,25 @@ def sketch_pairs(nodes: DataFrame, n_rows: int, ratio: float, most: int = MOST_B
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(bits[near])], ["a", "b", "bits"])
             step += 1
 
-    moved = nodes.select("node", "fp", "sketch", "len").mapInArrow(spread, "part int, block binary").repartitionById(parts, "part")
-    return moved.mapInArrow(compare, "a bigint, b bigint, bits int").distinct()
+    moved = nodes.select("node", "len", *FEATURES).mapInArrow(tidy(spread), "part int, block binary").repartitionById(parts, "part")
+    return moved.mapInArrow(tidy(compare), "a bigint, b bigint, bits int").distinct()
+
+
+def _texts(docs: DataFrame, text_col: str, ends: DataFrame) -> DataFrame:
+    """(node, norm) of ``ends`` (node, md5, line), from the documents' texts."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunks(batches, "text", CHUNK):
+            for text, wanted in zip(part.column("text").to_pylist(), part.column("wanted").to_pylist()):
+                lines = text.split("\n")
+                norm = normal_lines(pa.array([lines[w["line"]] for w in wanted], pa.string()))
+                yield pa.RecordBatch.from_arrays([pa.array([w["node"] for w in wanted], pa.int64()), norm], ["node", "norm"])
+
+    wanted = materialise(ends.groupBy("md5").agg(F.collect_list(F.struct("node", "line")).alias("wanted")), "line-wanted")  # of one text: its lines at most
+    text = F.col(text_col).cast("string")
+    texts = docs.select(F.unhex(F.md5(text)).alias("md5"), text.alias("text")).join(small_side(wanted), "md5")
+    found = texts.select("text", "wanted").mapInArrow(tidy(make), "node bigint, norm string")
+    return materialise(found.dropDuplicates(["node"]), "line-texts")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -173,8 +207,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
             yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
     left, right = texts.select(F.col("node").alias("a"), F.col("norm").alias("x")), texts.select(F.col("node").alias("b"), F.col("norm").alias("y"))
-    sized = pairs.join(left, "a").join(right, "b")
-    return sized.select("a", "b", "x", "y").mapInArrow(check, "a bigint, b bigint")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(tidy(check), "a bigint, b bigint")
 
 
 def _numbered(keyed: DataFrame, bits: int) -> DataFrame:
@@ -198,16 +231,18 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     lines are never dropped.
     """
     lines = materialise(line_table(docs, id_col, text_col), "lines")
-    first = F.struct("doc", "line")
-    keyed = lines.groupBy("key").agg(F.first("fp").alias("fp"), F.first("sketch").alias("sketch"), F.first(F.length("norm")).alias("len"), F.min(first).alias("first"), F.count("*").alias("n"))
+    first = _order()
+    # one hash aggregation of fixed-width values; lines of one key have equal features
+    keyed = lines.groupBy("key").agg(F.first("len").alias("len"), *[F.first(c).alias(c) for c in FEATURES], F.min(first).alias("first"), F.count("*").alias("n"))
     nodes = _numbered(keyed, node_bits)
     pairs = materialise(sketch_pairs(nodes, nodes.count(), similarity), "line-pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    ends = materialise(nodes.select("node", "key").join(small_side(materialise(ends, "line-ends")), "node", "left_semi"), "line-end-keys")
-    texts = materialise(lines.select("key", "norm").join(small_side(ends), "key").groupBy("node").agg(F.first("norm").alias("norm")), "line-texts")
-    # pairs within a group that verified pairs connect need no look: each node's pair with its smallest and its closest partner goes first
-    least = pairs.groupBy("b").agg(F.min("a").alias("a"), F.min_by("a", F.struct("bits", "a")).alias("near"))
-    soon = materialise(least.select("b", F.explode(F.array_distinct(F.array("a", "near"))).alias("a")).select("a", "b"), "line-soon")
+    ends = materialise(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "line-ends")
+    places = nodes.select("node", "first").join(small_side(ends), "node", "left_semi").select("node", F.col("first").alias("at"))
+    places = materialise(places, "line-places")
+    found = lines.select(first.alias("at"), "doc.md5", "line").join(small_side(places), "at").select("node", "md5", "line")
+    texts = _texts(docs, text_col, materialise(found.dropDuplicates(["node"]), "line-found"))
+    # pairs within a group that verified pairs connect need no look: each node's pair with its smallest partner goes first
+    soon = materialise(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "line-soon")
     early = materialise(_verified(soon, texts, similarity), "line-early")
     known = connected_groups(early)
     one, two = known.select(F.col("node").alias("a"), F.col("root").alias("root_a")), known.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
@@ -219,8 +254,8 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     touched = materialise(rooted.select("key", "first", F.coalesce("root", "node").alias("root")), "line-touched")
     kept = touched.groupBy("root").agg(F.min("first").alias("kept"))
     by_key = materialise(touched.join(kept, "root").select("key", "kept"), "line-kept")
-    occurrences = lines.select("doc", "line", "key").join(small_side(by_key), "key")
-    return occurrences.filter(first != F.col("kept")).groupBy("doc").agg(F.array_sort(F.collect_set("line")).alias("lines"))
+    occurrences = lines.select("doc", "line", "key", first.alias("at")).join(small_side(by_key), "key")
+    return occurrences.filter(F.col("at") != F.col("kept")).groupBy("doc").agg(F.array_sort(F.collect_set("line")).alias("lines"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, node_bits: int = NODE_BITS) -> DataFrame:
