@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import integral, materialise
+from .common import integral, materialise, tidy
 
 K = 10
 BITS = 256  # bits of a code, at least: shorter vectors are padded by zeros before they are rotated
@@ -163,7 +163,7 @@ def nearest(vectors: DataFrame, queries: DataFrame | None = None, k: int = K, id
             if sum(map(len, ids)):
                 yield out()
 
-        return materialise(df.mapInArrow(make, ", ".join(f"{n} binary" for n in names)), f"ann-{name}")
+        return materialise(df.mapInArrow(tidy(make), ", ".join(f"{n} binary" for n in names)), f"ann-{name}")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn = rotation(dim, bits)
@@ -189,7 +189,7 @@ def nearest(vectors: DataFrame, queries: DataFrame | None = None, k: int = K, id
             yield out()
 
     pairs = blocks(asked, QUERY_ROWS, "q", False).crossJoin(blocks(each, CODE_ROWS, "x", True))
-    found = materialise(pairs.mapInArrow(search, "id bigint, neighbour bigint, similarity double"), "ann-found")
+    found = materialise(pairs.mapInArrow(tidy(search), "id bigint, neighbour bigint, similarity double"), "ann-found")
     rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("similarity"), "neighbour"))
     ranked = found.withColumn("rank", rank).filter(F.col("rank") <= k)
     return ranked.select(F.col("id").alias(id_col), "rank", "neighbour", F.round("similarity", 5).alias("similarity"))

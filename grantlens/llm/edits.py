@@ -98,29 +98,50 @@ def within(x: str, y: str, most: int) -> bool:
     return script_cost(x, y, most) <= most or distance(x, y) <= most
 
 
+#: Pairs of one band width that are computed together.
+TOGETHER = 4096
+
+
+class Verifier:
+    """Which of many pairs are within an edit distance; those that no cheap bound decides wait until TOGETHER can be computed at once."""
+
+    def __init__(self) -> None:
+        self.open: dict[int, list[tuple[object, str, str, int]]] = {}
+
+    def add(self, name: object, x: str, y: str, most: int) -> bool:
+        """Whether the pair is surely within; others may be named by :meth:`ready` or :meth:`rest` later."""
+        if abs(len(x) - len(y)) > most:
+            return False
+        x, y = _stripped(x, y)
+        if max(len(x), len(y)) <= most or script_cost(x, y, most) <= most:
+            return True
+        width = -(-(2 * most + 1) // 64)
+        if min(len(x), len(y)) <= most or width > WIDEST:
+            return distance(x, y) <= most
+        self.open.setdefault(width, []).append((name, x, y, most))
+        return False
+
+    def ready(self, least: int = TOGETHER) -> list:
+        """Names of pairs that are within, of the widths of which ``least`` wait."""
+        out = []
+        for width in [w for w, rows in self.open.items() if len(rows) >= least]:
+            rows = sorted(self.open.pop(width), key=lambda r: len(r[2]))
+            for a in range(0, len(rows), TOGETHER):
+                part = rows[a : a + TOGETHER]
+                near = _banded([r[1] for r in part], [r[2] for r in part], np.array([r[3] for r in part]), width)
+                out += [part[i][0] for i in np.flatnonzero(near)]
+        return out
+
+    def rest(self) -> list:
+        return self.ready(1)
+
+
 def within_all(xs: Sequence[str], ys: Sequence[str], most: Sequence[int]) -> np.ndarray:
-    """:func:`within` of each pair; those that no cheap bound decides go through :func:`_banded` together."""
-    out = np.zeros(len(xs), bool)
-    open_: dict[int, list[tuple[int, str, str, int]]] = {}
+    """:func:`within` of each pair."""
+    work, out = Verifier(), np.zeros(len(xs), bool)
     for i, (x, y, m) in enumerate(zip(xs, ys, most)):
-        if abs(len(x) - len(y)) > m:
-            continue
-        x, y = _stripped(x, y)
-        if max(len(x), len(y)) <= m or script_cost(x, y, m) <= m:
-            out[i] = True
-        elif min(len(x), len(y)) > m:
-            width = -(-(2 * m + 1) // 64)
-            if width > WIDEST:
-                out[i] = distance(x, y) <= m
-            else:
-                open_.setdefault(width, []).append((i, x, y, m))
-        else:
-            out[i] = distance(x, y) <= m
-    for width, rows in open_.items():
-        rows.sort(key=lambda r: len(r[2]))
-        for a in range(0, len(rows), 2048):
-            part = rows[a : a + 2048]
-            out[[r[0] for r in part]] = _banded([r[1] for r in part], [r[2] for r in part], np.array([r[3] for r in part]), width)
+        out[i] = work.add(i, x, y, m)
+    out[work.rest()] = True
     return out
 
 
@@ -136,12 +157,15 @@ def _banded(xs: Sequence[str], ys: Sequence[str], most: np.ndarray, width: int)
     """
     n, m = np.array([len(x) for x in xs]), np.array([len(y) for y in ys])
     size, pairs, bits = len(xs), np.arange(len(xs)), 64 * width
-    left = np.full((size, int(max(n.max(), m.max())) + 2 * bits), 0xFFFFFFFF, np.uint32)
-    right = np.full((size, int(m.max())), 0xFFFFFFFE, np.uint32)
+    alphabet, codes = np.unique(np.concatenate([_codes(xs), _codes(ys)]), return_inverse=True)
+    codes = codes.astype(np.uint8 if len(alphabet) < 254 else np.uint32) + 2  # 0 and 1 match nothing
+    left = np.zeros((size, int(max(n.max(), m.max())) + 2 * bits), codes.dtype)
+    right = np.ones((size, int(m.max())), codes.dtype)
     row = np.repeat(pairs, n)
-    left[row, np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + (bits - 1 - most)[row]] = _codes(xs)
+    left[row, np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + (bits - 1 - most)[row]] = codes[: len(row)]
+    codes = codes[len(row) :]
     row = np.repeat(pairs, m)
-    right[row, np.arange(len(row)) - np.repeat(np.cumsum(m) - m, m)] = _codes(ys)
+    right[row, np.arange(len(row)) - np.repeat(np.cumsum(m) - m, m)] = codes
     right = np.ascontiguousarray(right.T)
     one, top = np.uint64(1), np.uint64(63)
     first = (bits - 1 - most)[None, :] - 64 * np.arange(width)[:, None]  # bits of a word from here on are set

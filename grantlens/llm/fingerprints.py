@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_strings, mix64, split_words
+from .common import hash_strings, mix64, split_words, tidy
 
 PUNCTUATION = string.punctuation + "«»“”‘’„…–—¿¡"
 #: Bit j of a byte moved to byte lane j of a 64-bit integer, so that adding integers counts eight bits at once.
@@ -138,7 +138,7 @@ def band_pairs(
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j])), pa.array(bits)], ["a", "b", "bits"])
             step += 1
 
-    spread_out = fps.select("node", "fp").mapInArrow(spread, "part int, block binary")
+    spread_out = fps.select("node", "fp").mapInArrow(tidy(spread), "part int, block binary")
     # one group is one band slice: rows of a part lie together, in a partition of its own as far as partitions go
     together = spread_out.repartitionById(bands * slices, "part").sortWithinPartitions("part")
-    return together.mapInArrow(compare, "a bigint, b bigint, bits int")
+    return together.mapInArrow(tidy(compare), "a bigint, b bigint, bits int")

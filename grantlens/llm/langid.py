@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, hash60, materialise, small_side, spare
+from .common import chunks, hash60, materialise, small_side, spare, tidy
 
 LANGS = ("de", "en", "es", "fr")
 #: Rows of each language that the text model is fitted on, at most: those of the smallest key hashes.
@@ -70,7 +70,7 @@ def fit(labelled: DataFrame, text_col: str, label_col: str, key_col: str, langs:
         lab, slot = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(lab.astype(np.int32)), pa.array(slot.astype(np.int32)), pa.array(total[lab, slot])], ["lang", "slot", "n"])
 
-    counted = sample.select("label", "text").mapInArrow(count, "lang int, slot int, n bigint").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
+    counted = sample.select("label", "text").mapInArrow(tidy(count), "lang int, slot int, n bigint").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
     got = counted.toArrow()  # at most len(langs) * SLOTS rows
     counts = np.zeros((SLOTS, len(langs)))
     counts[got.column("slot").to_numpy(), got.column("lang").to_numpy()] = got.column("n").to_numpy()
@@ -119,7 +119,7 @@ def evidence(rows: DataFrame, model: TextModel, key: Column, text: Column, decla
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("key", "declared", "suffix", "host")), *lists], ["key", "declared", "suffix", "host", "ll", "p"])
 
     one = rows.select(key.alias("key"), declared.cast("string").alias("declared"), suffix.cast("string").alias("suffix"), host.cast("string").alias("host"), text.cast("string").alias("text"))
-    return one.mapInArrow(score, "key binary, declared string, suffix string, host string, ll array<double>, p array<double>")
+    return one.mapInArrow(tidy(score), "key binary, declared string, suffix string, host string, ll array<double>, p array<double>")
 
 
 def _sums(df: DataFrame, by: list[str], name: str, width: int) -> DataFrame:

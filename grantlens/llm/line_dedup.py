@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .common import chunks, integral, materialise, mix64, small_side, spare, tidy
 from .components import connected_groups
-from .edits import within_all
+from .edits import Verifier
 from .fingerprints import distance
 from .lines import SKETCHES, features, normal_lines
 
@@ -185,10 +185,12 @@ def _texts(docs: DataFrame, text_col: str, ends: DataFrame) -> DataFrame:
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, "text", CHUNK):
+            nodes, raw = [], []
             for text, wanted in zip(part.column("text").to_pylist(), part.column("wanted").to_pylist()):
                 lines = text.split("\n")
-                norm = normal_lines(pa.array([lines[w["line"]] for w in wanted], pa.string()))
-                yield pa.RecordBatch.from_arrays([pa.array([w["node"] for w in wanted], pa.int64()), norm], ["node", "norm"])
+                nodes += [w["node"] for w in wanted]
+                raw += [lines[w["line"]] for w in wanted]
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), normal_lines(pa.array(raw, pa.string()))], ["node", "norm"])
 
     wanted = materialise(ends.groupBy("md5").agg(F.collect_list(F.struct("node", "line")).alias("wanted")), "line-wanted")  # of one text: its lines at most
     text = F.col(text_col).cast("string")
@@ -201,10 +203,18 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     """The pairs whose texts' edit distance is ``1 - similarity`` of the longer at most."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = Verifier()
+
+        def out(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
+
         for batch in batches:
-            x, y = batch.column("x").to_pylist(), batch.column("y").to_pylist()
-            near = within_all(x, y, [int(max(len(p), len(q)) * (1 - similarity) + 1e-9) for p, q in zip(x, y)])
-            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+            near = []
+            for a, b, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "x", "y"))):
+                if work.add((a, b), x, y, int(max(len(x), len(y)) * (1 - similarity) + 1e-9)):
+                    near.append((a, b))
+            yield out(near + work.ready())
+        yield out(work.rest())
 
     left, right = texts.select(F.col("node").alias("a"), F.col("norm").alias("x")), texts.select(F.col("node").alias("b"), F.col("norm").alias("y"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(tidy(check), "a bigint, b bigint")

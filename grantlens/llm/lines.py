@@ -22,7 +22,9 @@ def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for i in range(1 << 16):
         kind[i], low[i] = _of(chr(i))
     kind[48:58], kind[10] = _DIGIT, _BREAK
-    return kind, low, mix64(np.arange(1 << 16).astype(np.uint64), 99)
+    value = mix64(np.arange(1 << 16).astype(np.uint64), 99)
+    value[[10, 32]] = 0
+    return kind, low, value
 
 
 def _of(c: str) -> tuple[int, int]:
@@ -58,6 +60,20 @@ def _normal_points(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return point[keep], place[at], owner
 
 
+class _Powers:
+    """Powers of an odd number modulo 2**64, as many as were asked for so far, and those of its inverse."""
+
+    base = 0x9E3779B97F4A7C15
+    up, down = np.ones(1, np.uint64), np.ones(1, np.uint64)
+
+    @classmethod
+    def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(cls.up) < n:
+            with np.errstate(over="ignore"):
+                cls.up, cls.down = (np.cumprod(np.r_[np.uint64(1), np.full(n + n // 4, b, np.uint64)]) for b in (cls.base, pow(cls.base, -1, 1 << 64)))
+        return cls.up, cls.down
+
+
 def normal_lines(lines: pa.Array) -> pa.Array:
     """Lower case, every run of ASCII digits one 0, every run of other characters than letters, numbers and marks one blank."""
     if not len(lines):
@@ -79,13 +95,10 @@ def features(lines: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     fp, sketch = np.zeros((n, 2), np.uint64), np.zeros((n, SKETCHES), np.uint32)
     if not len(start):
         return normal, fp, sketch
-    value = _tables()[2][points & 0xFFFF]
-    body = (points != 32) & (points != 10)
-    index = np.arange(len(points)) - start[np.maximum(np.cumsum(np.isin(np.arange(len(points)), start, assume_unique=True)) - 1, 0)]
-    powers = np.cumprod(np.full(int(index[body].max()) + 1, 0x9E3779B97F4A7C15, np.uint64))
+    up, down = _Powers.of(len(points))
     with np.errstate(over="ignore"):
-        part = np.where(body, value * powers[np.where(body, index, 0)], np.uint64(0))
-        words = mix64(np.add.reduceat(part, start))
+        value = _tables()[2][points & 0xFFFF]  # 0 for blanks and breaks
+        words = mix64(np.add.reduceat(value * up[: len(points)], start) * down[start])
         # SimHash over the set of words
         key = np.sort(owner.astype(np.uint64) << np.uint64(40) | words >> np.uint64(24))
         key = key[np.r_[True, key[1:] != key[:-1]]]
@@ -115,7 +128,8 @@ def features(lines: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
 
 def _simhash(out: np.ndarray, row: np.ndarray, seed: np.ndarray) -> None:
     """Sets ``out`` (n, words) to the SimHash of the seeds of each row; rows ascend."""
-    place = np.arange(len(row)) - np.searchsorted(row, row)
+    heads = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+    place = np.arange(len(row)) - np.repeat(heads, np.diff(np.r_[heads, len(row)]))
     starts = np.flatnonzero(place % 255 == 0)  # a byte lane counts to 255
     words = out.shape[1]
     lanes = np.empty((len(starts), 8 * words), np.uint64)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, hash_strings, materialise, spare, split_words
+from .common import chunks, hash_strings, materialise, spare, split_words, tidy
 
 #: Tokens of one suffix array.
 SHARD_TOKENS = 2_000_000
@@ -188,7 +188,7 @@ def score_texts(
     each = []
     for k in range(passes):
         block = coded.filter(F.pmod(F.xxhash64("key"), F.lit(passes)) == k).orderBy("key").toArrow()  # about pass_tokens words
-        each.append(docs.mapInArrow(_counter(block, shard_tokens, k == 0), "key binary, place int, longest int, context bigint, joined bigint, single bigint, word bigint, tokens bigint"))
+        each.append(docs.mapInArrow(tidy(_counter(block, shard_tokens, k == 0)), "key binary, place int, longest int, context bigint, joined bigint, single bigint, word bigint, tokens bigint"))
     counted = each[0]
     for more in each[1:]:
         counted = counted.unionByName(more)

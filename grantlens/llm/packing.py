@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, fresh_path, hash_strings, materialise, split_words
+from .common import chunks, fresh_path, integral, hash_strings, materialise, split_words, tidy
 
 WINDOW = 2048  # tokens (words)
 #: Tokens of the pieces of one index shard, about.
@@ -53,8 +53,8 @@ def piece_table(docs: DataFrame, id_col: str, text_col: str, window: int) -> Dat
             )
 
     text = F.col(text_col).cast("string")
-    one = docs.select(F.col(id_col).cast("bigint").alias("id"), F.conv(F.substring(F.md5(F.coalesce(text, F.lit(""))), 1, 15), 16, 10).cast("bigint").alias("tie"), text.alias("text"))
-    return one.mapInArrow(make, "id bigint, tie bigint, start bigint, n_tokens int, terms binary")
+    one = docs.select(integral(docs, id_col).alias("id"), F.conv(F.substring(F.md5(F.coalesce(text, F.lit(""))), 1, 15), 16, 10).cast("bigint").alias("tie"), text.alias("text"))
+    return one.mapInArrow(tidy(make), "id bigint, tie bigint, start bigint, n_tokens int, terms binary")
 
 
 FOUND = np.dtype([("score", "<i8"), ("num", "<i8"), ("size", "<i4")])
@@ -220,11 +220,11 @@ def _indexed(pieces: DataFrame, n_shards: int, n: int, mean: float) -> DataFrame
         blobs = [np.array([r[0] for r in rows], np.int64), sizes, *made]
         return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in blobs)], ["shard", "nums", "sizes", "term", "doc", "weight"])
 
-    part = pieces.select("shard", "terms").mapInArrow(local, "shard int, term bigint, n bigint")
+    part = pieces.select("shard", "terms").mapInArrow(tidy(local), "shard int, term bigint, n bigint")
     df = part.groupBy("term").agg(F.sum("n").cast("int").alias("n_tokens"), F.collect_set("shard").alias("shards"))
     df = df.select(F.explode("shards").alias("shard"), (F.lit(-1) - F.col("term")).alias("num"), "n_tokens", F.lit(None).cast("binary").alias("terms"))
     rows = df.unionByName(pieces.select("shard", "num", "n_tokens", "terms")).repartitionById(n_shards, "shard").sortWithinPartitions("shard", "num")
-    return materialise(rows.mapInArrow(build, "shard int, nums binary, sizes binary, term binary, doc binary, weight binary"), "pack-index")
+    return materialise(rows.mapInArrow(tidy(build), "shard int, nums binary, sizes binary, term binary, doc binary, weight binary"), "pack-index")
 
 
 def _lists(index: DataFrame, pieces: DataFrame, filler: Filler, seeds: np.ndarray, rooms: np.ndarray, keep: int) -> list[np.ndarray]:
@@ -256,7 +256,7 @@ def _lists(index: DataFrame, pieces: DataFrame, filler: Filler, seeds: np.ndarra
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(blobs, pa.binary())], ["seed", "found"])
 
 
-    got = index.coalesce(2 * sc.defaultParallelism).mapInArrow(look, "seed int, found binary").toArrow()
+    got = index.coalesce(2 * sc.defaultParallelism).mapInArrow(tidy(look), "seed int, found binary").toArrow()
     sent.destroy()
     each: list[list[np.ndarray]] = [[] for _ in seeds]
     for i, x in zip(got.column("seed").to_pylist(), got.column("found").to_pylist()):
@@ -272,9 +272,11 @@ def pack_documents(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     seed's words are sent to every shard, so windows do not depend on the division.  Rounds of seeds are asked at once and
     filled in order as one seed after another would be.  ``shard`` is the seed's, ``window`` counts over all shards.  NULL, empty
     and blank texts are pieces of no words, packed like others; repeated rows are packed as often as they occur; an empty
-    table gives none.  Full pieces of a long document are windows of their own, in shard -1, named by (id, start).  The
-    cost is windows times pieces.
+    table gives none.  Full pieces of a long document are windows of their own, in shard -1, named by (id, start).
+    Ids must be integers (ValueError).  The cost is windows times pieces.
     """
+    if not 0 < window <= 65_535:
+        raise ValueError("a window holds 1 to 65,535 words")
     spark = docs.sparkSession
     pieces = materialise(piece_table(docs, id_col, text_col, window), "pack-pieces")
 
