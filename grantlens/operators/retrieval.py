@@ -1,34 +1,35 @@
-"""From documents to funding statements: split, prefilter, score, gate, deduplicate."""
+"""From documents to funding statements: split, prefilter, score, gate, cut to the statement, deduplicate, rescue, filter.
+
+A document's paragraphs lie in one row, so all of it is done inside the row's arrays: no step shuffles text.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import patterns as P
 from ..functions import text as T
 
-#: Words that make a paragraph worth scoring.
-BROAD = r"(?i)\b(?:fund(?:s|ed|ing)?|grants?|support(?:s|ed)?|sponsor(?:ed|s)?|acknowledg\w*|awards?|foundation|council)\b"
-POSITIVE = (
-    r"(?i)\bsupported (?:in part )?by\b", r"(?i)\bfund(?:ed|ing) (?:by|from)\b", r"(?i)\bgrant (?:no|number)\b", r"(?i)\bfinancial support\b", r"(?i)\bthank\b.*\bsupport\b",
-)
-NEGATIVE = (r"(?i)\bsupported by (?:the )?(?:evidence|data|table|figure|experiments?|results?)\b", r"(?i)\bgranted by the (?:ethics|review)\b")
-#: (name, weight, pattern) of the confidence score.
-MARKERS = (
-    ("grant_number", 30, r"(?i)\bgrant (?:no|number)\.? ?[a-z0-9-]+"), ("this_work", 30, r"(?i)\bthis (?:work|research|study) (?:was|is)\b"), ("financial_verb", 20, r"(?i)\b(?:funded|financed|financial support)\b"),
-    ("organisation", 20, r"(?i)\b(?:foundation|council|agency|ministry)\b"), ("under_grant", 15, r"(?i)\bunder grant\b"), ("partial", 10, r"(?i)\bpartial(?:ly)?\b"), ("author", 10, r"(?i)\bthe authors?\b"),
-    ("citation", -40, r"(?i)\bet al\."), ("technical", -35, NEGATIVE[0]), ("biography", -30, r"(?i)\breceived (?:his|her|the) ph\.?d"),
-)
-QUERIES = (("acknowledgement", "we acknowledge the financial support of"), ("grant", "supported by the foundation under grant no"), ("council", "research funded by the council"), ("thanks", "the author would like to thank"))
+TOP_K = 5
+#: Scores above it need no pattern; a lexical score, as a late interaction of 32 query tokens, goes up to FULL_SCORE.
+HIGH, FULL_SCORE = 14.0, 32.0
+KEYWORDS = ("acknowledg", "award", "fellowship", "financial", "foundation", "fund", "grant", "scholarship", "sponsor", "support")
+DENSITY_WORDS = (*KEYWORDS, "thank")
+SENTENCE = r"(?i)\b(?:acknowledg|award|facilities|fellowship|fund|grant|hospitality|project|scholarship|support|thanks?)\w*\b"
+
+
+def matches(x: Column, patterns: Sequence[str]) -> Column:
+    return x.rlike(P.FLAGS + P.either(patterns))
 
 
-def any_match(x: Column, patterns: Sequence[str]) -> Column:
-    hit = x.rlike(patterns[0])
-    for p in patterns[1:]:
-        hit = hit | x.rlike(p)
-    return hit
+def score_floor(prefiltered: bool, given: float | None = None) -> float:
+    """The least score of a paragraph with a positive pattern: 11 after the prefilter, else 3."""
+    return given if given is not None else 11.0 if prefiltered else 3.0
 
 
 def split_documents(docs: DataFrame, delimiter: str = T.BLANK_LINES) -> DataFrame:
@@ -36,58 +37,209 @@ def split_documents(docs: DataFrame, delimiter: str = T.BLANK_LINES) -> DataFram
     return docs.select("doc_id", F.posexplode(T.paragraphs(F.col("text"), delimiter)).alias("para_idx", "paragraph"))
 
 
-def prefilter(docs: DataFrame, pattern: str = BROAD) -> DataFrame:
-    """Paragraphs that match or stand next to one that does; decided within the document's array, so without a shuffle."""
-    parts = T.paragraphs(F.col("text"))
-    flagged = docs.select("doc_id", F.transform(parts, lambda p: F.struct(p.alias("p"), p.rlike(pattern).alias("hit"))).alias("ps"))
-    near = F.transform("ps", lambda x, i: F.struct(i.alias("para_idx"), x["p"].alias("paragraph"), (x["hit"] | F.coalesce(F.get("ps", i - 1)["hit"], F.lit(False)) | F.coalesce(F.get("ps", i + 1)["hit"], F.lit(False))).alias("keep")))
-    return flagged.select("doc_id", F.explode(F.filter(near, lambda x: x["keep"])).alias("x")).select("doc_id", "x.para_idx", "x.paragraph")
+def _numbered(text: Column, prefilter_by: Sequence[str] | None) -> Column:
+    """Array of (para_idx, paragraph); with patterns, only paragraphs that match or stand next to one that does."""
+    parts = T.paragraphs(text)
+    if prefilter_by is None:
+        return F.transform(parts, lambda p, i: F.struct(i.alias("para_idx"), p.alias("paragraph")))
+    flagged = F.transform(parts, lambda p: F.struct(p.alias("p"), matches(p, prefilter_by).alias("hit")))
+
+    def near(xs: Column) -> Column:
+        side = lambda i: F.coalesce(F.get(xs, i)["hit"], F.lit(False))
+        marked = F.transform(xs, lambda x, i: F.struct(i.alias("para_idx"), x["p"].alias("paragraph"), (x["hit"] | side(i - 1) | side(i + 1)).alias("keep")))
+        return F.transform(F.filter(marked, lambda x: x["keep"]), lambda x: F.struct(x["para_idx"].alias("para_idx"), x["paragraph"].alias("paragraph")))
+
+    return F.element_at(F.transform(F.array(flagged), near), 1)
+
+
+def prefilter(docs: DataFrame, patterns: Sequence[str] = P.BROAD) -> DataFrame:
+    """(doc_id, para_idx, paragraph) of paragraphs that match or stand next to one that does."""
+    return docs.select("doc_id", F.explode(_numbered(F.col("text"), patterns)).alias("x")).select("doc_id", "x.para_idx", "x.paragraph")
+
+
+def ranked_paragraphs(docs: DataFrame, k: int = TOP_K, queries: Mapping[str, str] = P.QUERIES, patterns: Sequence[str] | None = P.BROAD) -> DataFrame:
+    """(doc_id, q_pos, query, rank, para_idx, paragraph, score): the ``k`` best paragraphs of each document and query, ties by position.
+
+    The encoder is lexical: late interaction of one-hot word vectors, a query's words weighing FULL_SCORE together.
+    Paragraphs are first cut down to the words that any query has.
+    """
+    vocabulary = F.array(*[F.lit(w) for w in sorted({w for t in queries.values() for w in t.lower().split()})])
+    words = lambda p: F.array_intersect(F.split(F.lower(F.regexp_replace(p, r"[^A-Za-z0-9]+", " ")), " "), vocabulary)
+    made = F.array(*[F.struct(F.lit(i).alias("q_pos"), F.lit(n).alias("query"), F.array(*[F.lit(w) for w in dict.fromkeys(t.lower().split())]).alias("words")) for i, (n, t) in enumerate(queries.items())])
+    parts = docs.select("doc_id", F.transform(_numbered(F.col("text"), patterns), lambda x: F.struct(x["para_idx"].alias("para_idx"), x["paragraph"].alias("paragraph"), words(x["paragraph"]).alias("words"))).alias("ps"))
+
+    def best(q: Column) -> Column:
+        scored = F.transform("ps", lambda p, i: F.struct((-F.size(F.array_intersect(p["words"], q["words"]))).alias("less"), p["para_idx"].alias("para_idx"), i.alias("at")))
+        return F.slice(F.array_sort(scored), 1, k)
+
+    lists = parts.filter(F.size("ps") > 0).select("doc_id", "ps", F.explode(F.transform(made, lambda q: F.struct(q["q_pos"].alias("q_pos"), q["query"].alias("query"), F.size(q["words"]).alias("n"), best(q).alias("best")))).alias("q"))
+    # only places are exploded; a paragraph's text is taken from its row
+    rows = lists.select("doc_id", "ps", "q.q_pos", "q.query", "q.n", F.posexplode("q.best").alias("rank", "b"))
+    return rows.select(
+        "doc_id", "q_pos", "query", (F.col("rank") + 1).alias("rank"), "b.para_idx", F.get("ps", F.col("b.at"))["paragraph"].alias("paragraph"), (-F.col("b.less") * (F.lit(FULL_SCORE) / F.col("n"))).alias("score")
+    )
+
+
+def max_similarity(paragraph_tokens: DataFrame, query_tokens: DataFrame) -> DataFrame:
+    """(doc_id, para_idx, q_pos, score): for each query token the largest inner product with any paragraph token, summed.
+
+    ``paragraph_tokens``: (doc_id, para_idx, vectors), ``query_tokens``: (q_pos, vectors), both ARRAY<ARRAY<FLOAT>>, not
+    padded.  The queries are as many as the configuration names: they are broadcast.  A paragraph without tokens scores 0.
+    """
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
+    pairs = paragraph_tokens.withColumnRenamed("vectors", "tokens").crossJoin(F.broadcast(query_tokens.withColumnRenamed("vectors", "asked")))
+    total = F.aggregate(F.transform("asked", lambda q: F.array_max(F.transform("tokens", lambda t: dot(q, t)))), F.lit(0.0), lambda s, x: s + F.coalesce(x, F.lit(0.0)))
+    return pairs.select("doc_id", "para_idx", "q_pos", total.alias("score"))
+
+
+def encoded(paragraphs: DataFrame, encode: Callable[[Sequence[str]], Sequence[np.ndarray]], text_col: str = "paragraph", batch: int = 512) -> DataFrame:
+    """``paragraphs`` with ``vectors``, the token vectors by an encoder function (Arrow batches, texts sorted by length).
+
+    Where the encoder runs out of memory (MemoryError) the batch is halved, down to one text, for which the error is raised.
+    """
 
+    def run(texts: list[str], size: int) -> list[np.ndarray]:
+        out: list[np.ndarray] = []
+        at = 0
+        while at < len(texts):
+            try:
+                out += list(encode(texts[at : at + size]))
+                at += size
+            except MemoryError:
+                if size == 1:
+                    raise
+                size = max(1, size // 2)
+        return out
 
-def lexical_scores(paragraphs: DataFrame, queries: Sequence[tuple[str, str]] = QUERIES) -> DataFrame:
-    """(doc_id, para_idx, paragraph, q_pos, query, score): late interaction with one-hot word vectors, that is, the query words present."""
-    words = F.array_distinct(F.split(F.lower(F.regexp_replace("paragraph", r"[^A-Za-z0-9]+", " ")), " "))
-    made = F.array(*[F.struct(F.lit(i).alias("q_pos"), F.lit(n).alias("query"), F.array(*map(F.lit, dict.fromkeys(t.split()))).alias("words")) for i, (n, t) in enumerate(queries)])
-    each = paragraphs.withColumn("w", words).withColumn("q", F.explode(made))
-    return each.select("doc_id", "para_idx", "paragraph", "q.q_pos", "q.query", F.size(F.array_intersect("w", "q.words")).cast("double").alias("score"))
+    @F.pandas_udf("array<array<float>>")
+    def vectors(x: pd.Series) -> pd.Series:
+        texts = x.fillna("")
+        order = np.argsort(texts.str.len().to_numpy(), kind="stable")  # least padding within a batch
+        made = run([texts.iloc[i] for i in order], batch)
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        return pd.Series([np.asarray(made[j], np.float32).tolist() for j in back])
 
+    return paragraphs.withColumn("vectors", vectors(text_col))
 
-def top_k(scores: DataFrame, k: int = 3) -> DataFrame:
-    """The ``k`` best paragraphs of each document and query, ties by position."""
+
+def top_k(scores: DataFrame, k: int = TOP_K) -> DataFrame:
+    """The ``k`` best paragraphs of each document and query of a table of scores, ties by position."""
     w = Window.partitionBy("doc_id", "q_pos").orderBy(F.desc("score"), "para_idx")
     return scores.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def gate(score: Column, paragraph: Column, high: float = 14.0, floor: float = 3.0) -> Column:
-    """Accept high scores; reject negatives; accept positives above the floor."""
-    return F.when(score > high, True).when(any_match(paragraph, NEGATIVE), False).otherwise(any_match(paragraph, POSITIVE) & (score > floor))
+def gate(score: Column, paragraph: Column, floor: float, positive: Sequence[str] = P.POSITIVE, negative: Sequence[str] = P.NEGATIVE) -> Column:
+    """Accept high scores; reject negatives; accept positives above the floor.  Patterns are only tried where they can decide."""
+    return F.when(score > HIGH, True).when(score <= floor, False).when(matches(paragraph, negative), False).otherwise(matches(paragraph, positive))
+
+
+def _hits(p: Column, keywords: Sequence[str]) -> Column:
+    """Places, from 1, where a keyword begins; no keyword begins with another or overlaps itself."""
+    low, longest = F.lower(p), max(map(len, keywords))
+    at = F.sequence(F.lit(1), F.length(p))
+    return F.when(low.rlike("|".join(keywords)), F.filter(at, lambda i: F.substring(low, i, F.lit(longest)).rlike("^(?:" + "|".join(keywords) + ")"))).otherwise(F.array().cast("array<int>"))
+
+
+def takes_whole(p: Column, score: Column) -> Column:
+    """Whether the statement is the full paragraph: a high score, a short one, dense keywords, or three within 300 characters."""
+    words = F.filter(F.split(F.lower(p), r"(?U)\s+"), lambda w: w != "")
+    dense = F.size(F.filter(words, lambda w: w.rlike("|".join(DENSITY_WORDS)))) / F.size(words)
+    close = lambda xs: F.exists(F.transform(xs, lambda x, i: F.get(xs, i + 2) - x), lambda d: d < 300)
+    near = F.element_at(F.transform(F.array(_hits(p, DENSITY_WORDS)), close), 1)
+    return F.when((score > HIGH) | (F.length(p) < 500), True).otherwise((dense > 0.05) | F.coalesce(near, F.lit(False)))
+
+
+def funding_sentences(p: Column) -> Column:
+    """The sentences that name funding, one blank between them; NULL where none does."""
+    kept = F.filter(F.split(p, r"(?U)(?<=[.!?])\s+(?=[A-Z])"), lambda s: s.rlike(SENTENCE))
+    return F.when(F.size(kept) > 0, F.array_join(F.transform(kept, T.strip), " "))
+
+
+def long_window(p: Column) -> Column:
+    """From 100 characters before the first keyword to 200 after the last begins, moved to sentence ends nearby."""
+
+    def cut(xs: Column) -> Column:
+        first, last = xs[0] - 1, F.element_at(xs, -1) - 1  # from 0
+        start, end = F.greatest(first - 100, F.lit(0)), F.least(last + 200, F.length(p))
+        low = F.greatest(start - 50, F.lit(0))
+        before = F.substring(p, low + 1, start - low)
+        start = F.when(before.rlike(r"[.!?\n]"), start - F.length(F.regexp_replace(before, r"(?s)^.*[.!?\n]", ""))).otherwise(start)
+        after = F.substring(p, end + 1, F.lit(100))
+        end = F.when(after.rlike("[.!?]"), end + F.length(F.regexp_extract(after, r"(?s)^([^.!?]*[.!?])", 1))).otherwise(end)
+        return T.strip(F.substring(p, start + 1, end - start))
+
+    return F.element_at(F.transform(F.array(_hits(p, KEYWORDS)), lambda xs: F.when(F.size(xs) > 0, cut(xs)).otherwise(p)), 1)
+
+
+def statement_text(p: Column, score: Column) -> Column:
+    """The statement of an accepted paragraph; NULL where no sentence names funding."""
+    return F.when(takes_whole(p, score), p).when(F.length(p) > 1000, long_window(p)).otherwise(funding_sentences(p))
 
 
 def confidence(x: Column) -> tuple[Column, Column]:
-    """(score, markers)."""
-    score = F.greatest(F.lit(0), sum((F.when(x.rlike(p), w).otherwise(0) for _, w, p in MARKERS[1:]), F.when(x.rlike(MARKERS[0][2]), MARKERS[0][1]).otherwise(0)))
-    return score, F.array_compact(F.array(*[F.when(x.rlike(p), n) for n, _, p in MARKERS]))
+    """(score, markers) of a statement: what its wording says, whatever its retrieval score."""
+    hit = [matches(F.lower(x), p) for _, _, p in P.MARKERS]
+    score = F.greatest(F.lit(0), sum((F.when(h, w).otherwise(0) for h, (_, w, _) in list(zip(hit, P.MARKERS))[1:]), F.when(hit[0], P.MARKERS[0][1]).otherwise(0)))
+    return score, F.array_compact(F.array(*[F.when(h, n) for h, (n, _, _) in zip(hit, P.MARKERS)]))
 
 
-def keep_statement(conf: Column, score: Column) -> Column:
-    return F.when(conf >= 30, True).when((score >= 12) & (conf >= 10), True).when(conf < 10, False).when(conf >= 20, True).otherwise(score >= 12)
+def keep_statement(conf: Column, score: Column, high: float = 30.0, low: float = 10.0, boost: float = 12.0) -> tuple[Column, Column]:
+    """(keep, reason) by the ordered table of the post filter."""
+    c, s = F.format_string("%.0f", conf.cast("double")), F.format_string("%.1f", score.cast("double"))
+    rules = (
+        (conf >= high, True, F.concat(F.lit("high_confidence ("), c, F.lit(")"))), ((score >= boost) & (conf >= 10), True, F.concat(F.lit("high_semantic ("), s, F.lit(") + markers"))),
+        (conf < low, False, F.concat(F.lit("low_confidence ("), c, F.lit(")"))), (conf >= 20, True, F.concat(F.lit("medium_confidence ("), c, F.lit(")"))),
+        (score >= 12.0, True, F.concat(F.lit("medium_confidence + semantic ("), s, F.lit(")"))), (F.lit(True), False, F.concat(F.lit("insufficient_confidence ("), c, F.lit(")"))),
+    )
+    keep, why = F.when(rules[0][0], F.lit(rules[0][1])), F.when(rules[0][0], rules[0][2])
+    for test, verdict, reason in rules[1:]:
+        keep, why = keep.when(test, F.lit(verdict)), why.when(test, reason)
+    return keep, why
+
+
+def apply_post_filter(statements: DataFrame, high: float = 30.0, low: float = 10.0, boost: float = 12.0) -> DataFrame:
+    """``statements`` (statement, score, ...) that the post filter keeps, with ``confidence`` and ``reason``."""
+    keep, why = keep_statement(F.col("confidence"), F.col("score"), high, low, boost)
+    return statements.withColumn("confidence", confidence(F.col("statement"))[0]).withColumns({"__keep": keep, "reason": why}).filter("__keep").drop("__keep")
 
 
 def first_statements(rows: DataFrame, least: int = 20) -> DataFrame:
-    """The first occurrence of each statement of a document in query and rank order; shorter ones than ``least`` go."""
+    """The first occurrence of each statement of a document in query and rank order; ``least`` characters or fewer go."""
     w = Window.partitionBy("doc_id", "statement").orderBy("q_pos", "rank")
     return rows.filter(F.length("statement") > least).withColumn("rn", F.row_number().over(w)).filter("rn = 1").drop("rn")
 
 
-def extract_statements(docs: DataFrame, k: int = 3) -> DataFrame:
+def extract_statements(
+    docs: DataFrame, k: int = TOP_K, queries: Mapping[str, str] = P.QUERIES, use_prefilter: bool = True, floor: float | None = None, rescue_too: bool = False, post_filter: bool = False,
+) -> DataFrame:
     """(doc_id, para_idx, query, score, confidence, statement)."""
-    ranked = top_k(lexical_scores(prefilter(docs)), k).filter(gate(F.col("score"), F.col("paragraph")))
-    found = first_statements(ranked.withColumnRenamed("paragraph", "statement"))
-    return found.select("doc_id", "para_idx", "query", "score", confidence(F.col("statement"))[0].alias("confidence"), "statement")
-
-
-def rescue(docs: DataFrame, least: int = 2) -> DataFrame:
-    """Paragraphs that several strong patterns mark, whatever their score."""
-    p = F.col("paragraph")
-    hits = sum((F.when(p.rlike(x), 1).otherwise(0) for x in POSITIVE[1:]), F.when(p.rlike(POSITIVE[0]), 1).otherwise(0))
-    return split_documents(docs).withColumn("hits", hits).filter((F.col("hits") >= least) & ~any_match(p, NEGATIVE) & (F.length(p) >= 20))
+    ranked = ranked_paragraphs(docs, k, queries, P.BROAD if use_prefilter else None)
+    accepted = ranked.filter(gate(F.col("score"), F.col("paragraph"), score_floor(use_prefilter, floor)))
+    found = first_statements(accepted.withColumn("statement", statement_text(F.col("paragraph"), F.col("score"))).drop("paragraph"))
+    rows = found.select("doc_id", "para_idx", "query", "score", "statement")
+    if rescue_too:
+        rows = rows.unionByName(rescue(docs, rows))
+    rows = apply_post_filter(rows).drop("reason") if post_filter else rows.withColumn("confidence", confidence(F.col("statement"))[0])
+    return rows.select("doc_id", "para_idx", "query", "score", "confidence", "statement")
+
+
+def rescue(docs: DataFrame, existing: DataFrame | None = None, least: int = 20) -> DataFrame:
+    """(doc_id, para_idx, query, score, statement) of paragraphs that strong patterns mark, whatever their score.
+
+    Two strong patterns, or one and a positive one, and no negative one.  Paragraphs and statements that ``existing``
+    (doc_id, statement) has, but for case, are passed over; of equal ones of a document the first stays.
+    """
+    p, low = F.col("paragraph"), F.lower("paragraph")
+    strong = sum((matches(low, [x]).cast("int") for x in P.STRONG[1:]), matches(low, [P.STRONG[0]]).cast("int"))
+    rows = split_documents(docs).withColumn("strong", strong)
+    rows = rows.filter(~matches(low, P.NEGATIVE) & ((F.col("strong") >= 2) | ((F.col("strong") >= 1) & matches(low, P.POSITIVE))))
+    whole = F.when(F.length(p) < 500, p).otherwise(F.coalesce(funding_sentences(p), F.when(F.length(p) > 1000, long_window(p)).otherwise(p)))
+    rows = rows.withColumn("statement", whole).filter(F.length("statement") >= least)
+    same = lambda x: F.lower(T.strip(x))
+    if existing is not None:
+        old = existing.select(F.col("doc_id").alias("e_doc"), same(F.col("statement")).alias("e_text")).distinct()
+        rows = rows.join(old, (F.col("doc_id") == F.col("e_doc")) & ((same(F.col("statement")) == F.col("e_text")) | (same(p) == F.col("e_text"))), "left_anti")
+    first = Window.partitionBy("doc_id", same(F.col("statement"))).orderBy("para_idx")
+    kept = rows.withColumn("rn", F.row_number().over(first)).filter("rn = 1")
+    return kept.select("doc_id", "para_idx", F.lit("pattern_rescue").alias("query"), F.lit(0.0).alias("score"), "statement")

@@ -2,71 +2,63 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import patterns as P
 from ..functions import similarity as S
 from ..functions import text as T
 from ..operators import relational as R
 from ..operators import retrieval as X
+from .registry import ORACLE, QUERIES, WORKS, query, table, works  # noqa: F401
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f: Callable) -> Callable:
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLE[f.__name__] = sql
-        return f
-
-    return add
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-#: Sections appended to documents by doc_id % 10, so that every rule sees both outcomes.
-SECTIONS = (
-    "This work was supported by the National Science Foundation under Grant No. AB-1234.", "This research is partially funded by the European Research Council (ERC).",
-    "The claim is supported by the evidence in the first table of this paper.", "We acknowledge the financial support of the Example Foundation and its council. " * 20, "The author would like to thank all organizers for their support.",
-    "[12] Smith, J. et al. Journal of Grants 4 (2010) 1-10.", "| a | 1 | b | 2 | c |\n|---|---|---|---|---|", "12\n13\n14\n15\n16",
-)
-
-
-def works(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``documents`` with a section appended to eight of ten."""
-    docs = table(spark, sf_dir, "documents")
-    section = F.get(F.array(*map(F.lit, SECTIONS)), F.pmod("doc_id", F.lit(10)).cast("int"))
-    return docs.withColumn("text", F.concat_ws("\n\n", "text", section, F.lit("The end.")))
-
-
-_WORKS = "works AS (SELECT doc_id, lang, source, concat_ws(chr(10) || chr(10), text, CASE doc_id % 10 " + " ".join(f"WHEN {i} THEN " + " || chr(10) || ".join("'" + p.replace("'", "''") + "'" for p in s.split("\n")) for i, s in enumerate(SECTIONS)) + " END, 'The end.') AS text FROM documents)"
-_PARAS = _WORKS + r""",
+_PARAS = WORKS + r""",
  parts AS (SELECT doc_id, list_filter(list_transform(string_split_regex(text, '\n[ \t\r\f]*\n'), lambda p: regexp_replace(p, '^\s+|\s+$', '', 'g')), lambda p: p <> '') AS ps FROM works),
  paras AS (SELECT doc_id, unnest(ps) AS paragraph, unnest(range(len(ps))) AS para_idx FROM parts)"""
 
 
-def _like(column: str, patterns) -> str:
-    return "(" + " OR ".join(f"regexp_matches({column}, '{p}')" for p in patterns) + ")"
+def _rx(column: str, patterns: Sequence[str]) -> str:
+    """RE2 has no look-ahead: for patterns with one, what must not follow is taken out of the text first."""
+    plain, ahead = [x for x in patterns if "%NOFIG" not in x], [x.replace("%NOFIG", "") for x in patterns if "%NOFIG" in x]
+    q = lambda x: x.replace("'", "''")
+    out = [f"regexp_matches({column}, '(?i){q(P.either(plain))}')"]
+    if ahead:
+        out.append(rf"regexp_matches(regexp_replace({column}, '(?i)(by|from|through)(\s+(?:eq\.|equation|fig\.|figure|section|table))', 'xx\2', 'g'), '(?i){q(P.either(ahead))}')")
+    return "(" + " OR ".join(out) + ")"
 
 
 _PREFILTER = _PARAS + f""",
- hits AS (SELECT *, regexp_matches(paragraph, '{X.BROAD}')::INT AS hit FROM paras),
+ hits AS (SELECT *, {_rx("paragraph", P.BROAD)}::INT AS hit FROM paras),
  kept AS (SELECT doc_id, para_idx, paragraph FROM (SELECT *, max(hit) OVER (PARTITION BY doc_id ORDER BY para_idx ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS near FROM hits) WHERE near = 1)"""
-_SCORES = _PREFILTER + ", queries(q_pos, query, words) AS (VALUES " + ", ".join(f"({i}, '{n}', [{', '.join(repr(w) for w in dict.fromkeys(t.split()))}])" for i, (n, t) in enumerate(X.QUERIES)) + r"""),
- scores AS (SELECT doc_id, para_idx, paragraph, q_pos, query, len(list_intersect(list_distinct(string_split(lower(regexp_replace(paragraph, '[^A-Za-z0-9]+', ' ', 'g')), ' ')), words))::DOUBLE AS score FROM kept, queries),
- ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id, q_pos ORDER BY score DESC, para_idx) AS rank FROM scores QUALIFY rank <= 3)"""
-_GATE = f"(CASE WHEN score > 14 THEN true WHEN {_like('paragraph', X.NEGATIVE)} THEN false ELSE {_like('paragraph', X.POSITIVE)} AND score > 3 END)"
-_CONF = lambda c: "greatest(0, " + " + ".join(f"CASE WHEN regexp_matches({c}, '{p}') THEN {w} ELSE 0 END" for _, w, p in X.MARKERS) + ")::INTEGER"
+_SCORES = _PREFILTER + ", queries(q_pos, query, words) AS (VALUES " + ", ".join(f"({i}, '{n}', [{', '.join(repr(w) for w in dict.fromkeys(t.lower().split()))}])" for i, (n, t) in enumerate(P.QUERIES.items())) + rf"""),
+ worded AS (SELECT *, list_distinct(string_split(lower(regexp_replace(paragraph, '[^A-Za-z0-9]+', ' ', 'g')), ' ')) AS ws FROM kept),
+ scores AS (SELECT doc_id, para_idx, paragraph, q_pos, query, len(list_intersect(ws, words)) * ({X.FULL_SCORE}::DOUBLE / len(words)) AS score FROM worded, queries),
+ ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id, q_pos ORDER BY score DESC, para_idx) AS rank FROM scores QUALIFY rank <= {X.TOP_K})"""
+_GATE = f"(CASE WHEN score > {X.HIGH} THEN true WHEN score <= 11 THEN false WHEN {_rx('paragraph', P.NEGATIVE)} THEN false ELSE {_rx('paragraph', P.POSITIVE)} END)"
+_CONF = lambda c: "greatest(0, " + " + ".join(f"CASE WHEN {_rx(f'lower({c})', p)} THEN {w} ELSE 0 END" for _, w, p in P.MARKERS) + ")::INTEGER"
+_HITS = lambda c, kws: f"(CASE WHEN regexp_matches(lower({c}), '{'|'.join(kws)}') THEN list_filter(range(1, length({c}) + 1), lambda i: regexp_matches(substr(lower({c}), i, {max(map(len, kws))}), '^(?:{'|'.join(kws)})')) ELSE [] END)"
+
+
+def _texts(source: str) -> str:
+    """CTE ``cut`` adds (whole, sentences, window_) to the columns of ``source`` (paragraph, score)."""
+    return rf""" measured AS (SELECT *, {_HITS("paragraph", X.DENSITY_WORDS)} AS dense_at, {_HITS("paragraph", X.KEYWORDS)} AS key_at, list_filter(string_split_regex(lower(paragraph), '\s+'), lambda w: w <> '') AS ws,
+  list_filter(string_split(regexp_replace(paragraph, '([.!?])\s+([A-Z])', '\1' || chr(1) || '\2', 'g'), chr(1)), lambda s: regexp_matches(s, '{X.SENTENCE}')) AS ss FROM {source}),
+ placed AS (SELECT *, greatest(key_at[1] - 101, 0) AS s0, least(key_at[len(key_at)] + 199, length(paragraph)) AS e0 FROM measured),
+ sides AS (SELECT *, substr(paragraph, greatest(s0 - 50, 0) + 1, s0 - greatest(s0 - 50, 0)) AS before, substr(paragraph, e0 + 1, 100) AS after FROM placed),
+ ends AS (SELECT *, CASE WHEN regexp_matches(before, '[.!?\n]') THEN s0 - length(regexp_replace(before, '(?s)^.*[.!?\n]', '')) ELSE s0 END AS s1, CASE WHEN regexp_matches(after, '[.!?]') THEN e0 + length(regexp_extract(after, '(?s)^([^.!?]*[.!?])', 1)) ELSE e0 END AS e1 FROM sides),
+ cut AS (SELECT *, (score > {X.HIGH} OR length(paragraph) < 500 OR len(list_filter(ws, lambda w: regexp_matches(w, '{"|".join(X.DENSITY_WORDS)}'))) / len(ws) > 0.05 OR len(list_filter(range(1, len(dense_at) - 1), lambda i: dense_at[i + 2] - dense_at[i] < 300)) > 0) AS whole,
+  CASE WHEN len(ss) > 0 THEN array_to_string(list_transform(ss, lambda s: regexp_replace(s, '^\s+|\s+$', '', 'g')), ' ') END AS sentences, CASE WHEN len(key_at) > 0 THEN regexp_replace(substr(paragraph, s1 + 1, e1 - s1), '^\s+|\s+$', '', 'g') ELSE paragraph END AS window_ FROM ends)"""
+
+
+_FOUND = f"""{_SCORES}, accepted AS (SELECT * FROM ranked WHERE {_GATE}), {_texts("accepted")},
+ stated AS (SELECT *, CASE WHEN whole THEN paragraph WHEN length(paragraph) > 1000 THEN window_ ELSE sentences END AS statement FROM cut),
+ found AS (SELECT * FROM stated WHERE length(statement) > 20 QUALIFY row_number() OVER (PARTITION BY doc_id, statement ORDER BY q_pos, rank) = 1)"""
 
 
-@query(f"WITH {_SCORES}, s AS (SELECT * FROM ranked WHERE {_GATE} AND length(paragraph) > 20 QUALIFY row_number() OVER (PARTITION BY doc_id, paragraph ORDER BY q_pos, rank) = 1) SELECT doc_id, para_idx::INTEGER AS para_idx, query, score, {_CONF('paragraph')} AS confidence, paragraph AS statement FROM s")
+@query(f"WITH {_FOUND} SELECT doc_id, para_idx::INTEGER AS para_idx, query, score, {_CONF('statement')} AS confidence, statement FROM found")
 def extract_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.extract_statements(works(spark, sf_dir))
 
@@ -88,27 +80,62 @@ def prefilter_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_SCORES} SELECT doc_id, para_idx::INTEGER AS para_idx, query, score, rank::INTEGER AS rank FROM ranked")
 def maxsim_lexical_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.top_k(X.lexical_scores(X.prefilter(works(spark, sf_dir)))).select("doc_id", "para_idx", "query", "score", "rank")
+    return X.ranked_paragraphs(works(spark, sf_dir)).select("doc_id", "para_idx", "query", "score", "rank")
+
+
+@query("""WITH t AS (SELECT label AS doc_id, vec_id % 7 AS para_idx, embedding FROM embeddings), q AS (SELECT vec_id AS tok, vec_id // 4 AS q_pos, embedding AS e FROM embeddings WHERE vec_id < 12),
+ m AS (SELECT doc_id, para_idx, q_pos, tok, max(list_dot_product(embedding::DOUBLE[], e::DOUBLE[])) AS best FROM t, q GROUP BY ALL) SELECT doc_id, para_idx, q_pos, round(sum(best), 5) AS score FROM m GROUP BY ALL""")
+def maxsim_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of one label are the tokens of one document's seven paragraphs; the first twelve are three queries of four tokens."""
+    e = table(spark, sf_dir, "embeddings")
+    tokens = e.groupBy(F.col("label").alias("doc_id"), (F.col("vec_id") % 7).alias("para_idx")).agg(F.collect_list("embedding").alias("vectors"))
+    asked = e.filter("vec_id < 12").groupBy(F.expr("vec_id div 4").alias("q_pos")).agg(F.collect_list("embedding").alias("vectors"))
+    return X.max_similarity(tokens, asked).withColumn("score", F.round("score", 5))
 
 
 @query(f"WITH {_SCORES} SELECT doc_id, para_idx::INTEGER AS para_idx, query, {_GATE} AS accepted FROM ranked")
 def gate_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = X.top_k(X.lexical_scores(X.prefilter(works(spark, sf_dir))))
-    return ranked.select("doc_id", "para_idx", "query", X.gate(F.col("score"), F.col("paragraph")).alias("accepted"))
+    return X.ranked_paragraphs(works(spark, sf_dir)).select("doc_id", "para_idx", "query", X.gate(F.col("score"), F.col("paragraph"), X.score_floor(True)).alias("accepted"))
+
+
+_ALL_CUT = f"{_PARAS}, scored AS (SELECT *, 0.0::DOUBLE AS score FROM paras), {_texts('scored')}"
+
+
+@query(f"WITH {_ALL_CUT} SELECT doc_id, para_idx::INTEGER AS para_idx, coalesce(whole, false) AS whole FROM cut")
+def full_paragraph_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return X.split_documents(works(spark, sf_dir)).select("doc_id", "para_idx", X.takes_whole(F.col("paragraph"), F.lit(0.0)).alias("whole"))
+
 
+@query(f"WITH {_ALL_CUT} SELECT doc_id, para_idx::INTEGER AS para_idx, sentences FROM cut")
+def funding_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return X.split_documents(works(spark, sf_dir)).select("doc_id", "para_idx", X.funding_sentences(F.col("paragraph")).alias("sentences"))
 
-@query(f"WITH {_SCORES}, c AS (SELECT doc_id, para_idx, query, score, {_CONF('paragraph')} AS confidence FROM ranked) SELECT doc_id, para_idx::INTEGER AS para_idx, query, confidence, CASE WHEN confidence >= 30 THEN true WHEN score >= 12 AND confidence >= 10 THEN true WHEN confidence < 10 THEN false WHEN confidence >= 20 THEN true ELSE score >= 12 END AS keep FROM c")
+
+@query(f"WITH {_ALL_CUT} SELECT doc_id, para_idx::INTEGER AS para_idx, window_ AS part FROM cut")
+def long_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return X.split_documents(works(spark, sf_dir)).select("doc_id", "para_idx", X.long_window(F.col("paragraph")).alias("part"))
+
+
+_KEEP = "CASE WHEN confidence >= 30 THEN 1 WHEN score >= 12 AND confidence >= 10 THEN 2 WHEN confidence < 10 THEN 3 WHEN confidence >= 20 THEN 4 WHEN score >= 12 THEN 5 ELSE 6 END"
+
+
+@query(f"WITH {_FOUND}, c AS (SELECT doc_id, para_idx, query, score, {_CONF('statement')} AS confidence FROM found), k AS (SELECT *, {_KEEP} AS rule FROM c) SELECT doc_id, para_idx::INTEGER AS para_idx, query, confidence, rule IN (1, 2, 4, 5) AS keep, CASE rule WHEN 1 THEN 'high_confidence (' || confidence || ')' WHEN 2 THEN 'high_semantic (' || printf('%.1f', score) || ') + markers' WHEN 3 THEN 'low_confidence (' || confidence || ')' WHEN 4 THEN 'medium_confidence (' || confidence || ')' WHEN 5 THEN 'medium_confidence + semantic (' || printf('%.1f', score) || ')' ELSE 'insufficient_confidence (' || confidence || ')' END AS reason FROM k")
 def post_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = X.top_k(X.lexical_scores(X.prefilter(works(spark, sf_dir)))).withColumn("confidence", X.confidence(F.col("paragraph"))[0])
-    return ranked.select("doc_id", "para_idx", "query", "confidence", X.keep_statement(F.col("confidence"), F.col("score")).alias("keep"))
+    found = X.extract_statements(works(spark, sf_dir))
+    keep, why = X.keep_statement(F.col("confidence"), F.col("score"))
+    return found.select("doc_id", "para_idx", "query", "confidence", keep.alias("keep"), why.alias("reason"))
 
 
-@query(f"WITH {_PARAS} SELECT doc_id, para_idx::INTEGER AS para_idx, array_to_string(list_filter([{', '.join(f'''CASE WHEN regexp_matches(paragraph, '{p}') THEN '{n}' END''' for n, _, p in X.MARKERS)}], lambda x: x IS NOT NULL), ',') AS markers FROM paras")
+@query(f"WITH {_PARAS} SELECT doc_id, para_idx::INTEGER AS para_idx, {_CONF('paragraph')} AS confidence, array_to_string(list_filter([" + ", ".join(f"CASE WHEN {_rx('lower(paragraph)', p)} THEN '{n}' END" for n, _, p in P.MARKERS) + "], lambda x: x IS NOT NULL), ',') AS markers FROM paras")
 def confidence_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.split_documents(works(spark, sf_dir)).select("doc_id", "para_idx", F.array_join(X.confidence(F.col("paragraph"))[1], ",").alias("markers"))
+    score, names = X.confidence(F.col("paragraph"))
+    return X.split_documents(works(spark, sf_dir)).select("doc_id", "para_idx", score.alias("confidence"), F.array_join(names, ",").alias("markers"))
+
+
+_STRONG = " + ".join(_rx("lower(paragraph)", [x]) + "::INT" for x in P.STRONG)
 
 
-@query(f"WITH {_PARAS}, h AS (SELECT *, ({' + '.join(f'''regexp_matches(paragraph, '{p}')::INT''' for p in X.POSITIVE)})::INTEGER AS hits FROM paras) SELECT doc_id, para_idx::INTEGER AS para_idx, paragraph, hits FROM h WHERE hits >= 2 AND NOT {_like('paragraph', X.NEGATIVE)} AND length(paragraph) >= 20")
+@query(f"WITH {_PARAS}, h AS (SELECT *, ({_STRONG}) AS strong, 0.0::DOUBLE AS score FROM paras), marked AS (SELECT * FROM h WHERE NOT {_rx('lower(paragraph)', P.NEGATIVE)} AND (strong >= 2 OR (strong >= 1 AND {_rx('lower(paragraph)', P.POSITIVE)}))), {_texts('marked')}, r AS (SELECT *, CASE WHEN length(paragraph) < 500 THEN paragraph ELSE coalesce(sentences, CASE WHEN length(paragraph) > 1000 THEN window_ ELSE paragraph END) END AS statement FROM cut) SELECT doc_id, para_idx::INTEGER AS para_idx, 'pattern_rescue' AS query, 0.0::DOUBLE AS score, statement FROM r WHERE length(statement) >= 20 QUALIFY row_number() OVER (PARTITION BY doc_id, lower(statement) ORDER BY para_idx) = 1")
 def pattern_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.rescue(works(spark, sf_dir))
 
@@ -268,13 +295,13 @@ def heal_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return short.groupBy("doc_id", "line").agg(F.count("*").alias("n")).filter("n > 1")
 
 
-@query(rf"""WITH {_WORKS}, q AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM works) SELECT doc_id, CASE WHEN text IS NULL OR trim(text) = '' THEN 'empty' WHEN len(list_filter(l, lambda s: length(s) > 1000)) / len(l) > 0.2 THEN 'long lines'
+@query(rf"""WITH {WORKS}, q AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM works) SELECT doc_id, CASE WHEN text IS NULL OR trim(text) = '' THEN 'empty' WHEN len(list_filter(l, lambda s: length(s) > 1000)) / len(l) > 0.2 THEN 'long lines'
  WHEN len(regexp_extract_all(text, '\s')) / length(text) < 0.05 THEN 'no blanks' WHEN length(text) / len(l) > 1000 THEN 'long mean line' ELSE 'ok' END AS verdict FROM q""")
 def heal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return works(spark, sf_dir).select("doc_id", T.quality_verdict(F.col("text")).alias("verdict"))
 
 
-@query(rf"WITH {_WORKS} SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '(?m)^[ \t]*[0-9]{{1,4}}[ \t]*$', '', 'g'), '(?mi)^[ \t]*page [0-9]+( of [0-9]+)?[ \t]*$', '', 'g'), '(?m)\|[ \t]*[0-9]+[ \t]*$', '', 'g') AS text FROM works")
+@query(rf"WITH {WORKS} SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '(?m)^[ \t]*[0-9]{{1,4}}[ \t]*$', '', 'g'), '(?mi)^[ \t]*page [0-9]+( of [0-9]+)?[ \t]*$', '', 'g'), '(?m)\|[ \t]*[0-9]+[ \t]*$', '', 'g') AS text FROM works")
 def heal_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return works(spark, sf_dir).select("doc_id", T.remove_footers(F.col("text")).alias("text"))
 
