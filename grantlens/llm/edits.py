@@ -157,8 +157,11 @@ def _banded(xs: Sequence[str], ys: Sequence[str], most: np.ndarray, width: int)
     """
     n, m = np.array([len(x) for x in xs]), np.array([len(y) for y in ys])
     size, pairs, bits = len(xs), np.arange(len(xs)), 64 * width
-    alphabet, codes = np.unique(np.concatenate([_codes(xs), _codes(ys)]), return_inverse=True)
-    codes = codes.astype(np.uint8 if len(alphabet) < 254 else np.uint32) + 2  # 0 and 1 match nothing
+    points = np.concatenate([_codes(xs), _codes(ys)])
+    alphabet = np.flatnonzero(np.bincount(points))
+    small = np.zeros(int(alphabet[-1]) + 1, np.uint8 if len(alphabet) < 254 else np.uint32)
+    small[alphabet] = np.arange(2, len(alphabet) + 2)  # 0 and 1 match nothing
+    codes = small[points]
     left = np.zeros((size, int(max(n.max(), m.max())) + 2 * bits), codes.dtype)
     right = np.ones((size, int(m.max())), codes.dtype)
     row = np.repeat(pairs, n)
@@ -172,7 +175,7 @@ def _banded(xs: Sequence[str], ys: Sequence[str], most: np.ndarray, width: int)
     up = np.where(first >= 64, np.uint64(0), np.where(first <= 0, ~np.uint64(0), ~np.uint64(0) << np.clip(first, 0, 63).astype(np.uint64)))
     down = np.zeros((width, size), np.uint64)
     score, turn, limit = most.copy(), n - most, 2 * most + m - n
-    live, result = pairs, np.zeros(size, bool)
+    live, result, gone = pairs, np.zeros(size, bool), np.zeros(size, bool)
     for j in range(int(m.max())):
         equal = np.packbits(left[:, j : j + bits] == right[j][:, None], axis=1, bitorder="little").view("<u8").T
         summed, carry = np.empty_like(up), None
@@ -201,11 +204,12 @@ def _banded(xs: Sequence[str], ys: Sequence[str], most: np.ndarray, width: int)
         up, down = minus | ~(slid | plus), slid & plus
         ended = m == j + 1
         result[live[ended]] = score[ended] <= most[ended]
-        gone = ended | (along & (score > limit))
-        if gone.any() and (gone.sum() * 8 > len(live) or ended.any()):
+        gone |= ended | (along & (score > limit))
+        if j % 8 == 7 and np.count_nonzero(gone) * 6 > len(live):  # else they are carried on, to no effect
             keep = ~gone
             if not keep.any():
                 break
+            gone = gone[keep]
             live, left, right, up, down = live[keep], left[keep], np.ascontiguousarray(right[:, keep]), np.ascontiguousarray(up[:, keep]), np.ascontiguousarray(down[:, keep])
             n, m, most, score, turn, limit = n[keep], m[keep], most[keep], score[keep], turn[keep], limit[keep]
     return result
