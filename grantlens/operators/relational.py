@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import f_beta
+from ..sources import with_position
 
 
 def resume(rows: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -44,16 +45,30 @@ def bucket_and_overall(rows: DataFrame, bucket: str, *aggs: Column) -> DataFrame
     return rows.rollup(bucket).agg(F.grouping(bucket).alias("all_rows"), *aggs).withColumn(bucket, F.when(F.col("all_rows") == 1, "overall").otherwise(F.col(bucket))).drop("all_rows")
 
 
-def floor_percentile(values: Column, q: float) -> Column:
-    """The value at floor(q (n - 1)) of the sorted values."""
-    return F.element_at(F.array_sort(F.collect_list(values)), (F.floor(F.lit(q) * (F.count(values) - 1)) + 1).cast("int"))
+def floor_percentile(rows: DataFrame, key: str, value: str, q: float, name: str) -> DataFrame:
+    """(key, name): of each key the value at place floor(q (n - 1)) of its sorted values; sorted over a shuffle, no lists."""
+    w = Window.partitionBy(key)
+    placed = rows.filter(F.col(value).isNotNull()).withColumns({"__rn": F.row_number().over(w.orderBy(value)), "__n": F.count("*").over(w)})
+    return placed.filter(F.col("__rn") == F.floor(F.lit(q) * (F.col("__n") - 1)) + 1).select(key, F.col(value).alias(name))
+
+
+def phase_summary(rows: DataFrame, phase: str, value: str) -> DataFrame:
+    """(phase, n, total, mean, median, p95 by floor, percent of all phases' total)."""
+    one = rows.groupBy(phase).agg(F.count(value).alias("n"), F.sum(value).alias("total"), F.avg(value).alias("mean"), F.percentile(value, 0.5).alias("median"))
+    whole = one.agg(F.sum("total").alias("__all"))
+    share = F.when(F.col("__all") > 0, 100 * F.col("total") / F.col("__all")).otherwise(0.0)
+    return one.join(floor_percentile(rows, phase, value, 0.95, "p95"), phase).crossJoin(F.broadcast(whole)).withColumn("percent", share).drop("__all")
 
 
 def ema(rows: DataFrame, key: str, order: str, value: str, alpha: float = 0.3) -> DataFrame:
-    """(key, ema): the fold of each key's values in order."""
-    one = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(order, value))).alias("xs"))
-    fold = F.aggregate(F.slice("xs", 2, F.greatest(F.size("xs") - 1, F.lit(0))), F.get("xs", F.lit(0))[value], lambda acc, x: acc * (1 - alpha) + x[value] * alpha)
-    return one.select(key, F.round(fold, 6).alias("ema"))
+    """(key, ema): the exponential average of each key's values in order, the first value its start.
+
+    The fold is a weighted sum: of n values the k-th weighs alpha (1 - alpha)^(n - k), the first (1 - alpha)^(n - 1).
+    """
+    w = Window.partitionBy(key)
+    placed = rows.withColumns({"__k": F.row_number().over(w.orderBy(order)), "__n": F.count("*").over(w)})
+    weight = F.pow(F.lit(1 - alpha), F.col("__n") - F.col("__k")) * F.when(F.col("__k") == 1, 1.0).otherwise(alpha)
+    return placed.groupBy(key).agg(F.round(F.sum(F.col(value) * weight), 6).alias("ema"))
 
 
 def next_batch(rows: DataFrame, group: str, cost: str, tie: str, target: float, most: int) -> DataFrame:
@@ -89,6 +104,72 @@ def set_diff(old: DataFrame, new: DataFrame, key: str, items: str) -> DataFrame:
     return both.select(key, verdict.alias("verdict"), F.coalesce(F.size(F.array_except("a", "b")), F.lit(0)).alias("removed"), F.coalesce(F.size(F.array_except("b", "a")), F.lit(0)).alias("added"))
 
 
+def run_metrics(rows: DataFrame, bucket: str, order: str, latency: str, seconds: float) -> DataFrame:
+    """(bucket, docs, mean, p50, p95, p99, docs_per_second) of each bucket and, as 'overall', of all rows.
+
+    Each group's first row in ``order`` is the warm-up and has no latency; a bucket's rate is by its summed latency, the
+    overall one by the wall clock.
+    """
+    first = rows.agg(F.min(order).alias("__first"))  # one row: no window over all rows
+    numbered = rows.select(F.col(bucket).alias("__b"), order, latency).withColumn("__rn", F.row_number().over(Window.partitionBy("__b").orderBy(order)))
+    numbered = numbered.crossJoin(F.broadcast(first)).select("__b", latency, F.when(F.col("__rn") > 1, F.col(latency)).alias("warm"), F.when(F.col(order) > F.col("__first"), F.col(latency)).alias("all_warm"))
+    stats = lambda c: [F.avg(c).alias("mean"), *[F.percentile(c, q).alias(n) for n, q in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99))]]
+    each = numbered.groupBy(F.col("__b").alias(bucket)).agg(F.count("*").alias("docs"), *stats("warm"), (F.count("*") / F.sum(latency)).alias("docs_per_second"))
+    overall = numbered.agg(F.lit("overall").alias(bucket), F.count("*").alias("docs"), *stats("all_warm"), (F.count("*") / F.lit(seconds)).alias("docs_per_second"))
+    return each.unionByName(overall)
+
+
+def checkpoint_scores(checkpoints: DataFrame, evals: DataFrame, step: str, metric: str) -> DataFrame:
+    """(step, best, chosen): the best metric among evaluations up to each checkpoint, and whether it is the best of all, the earliest of equals.
+
+    A running maximum over both tables instead of a join of ranges; these are as many rows as one training evaluates.
+    """
+    both = checkpoints.select(step, F.lit(None).cast("double").alias("m"), F.lit(1).alias("is_checkpoint")).unionByName(evals.select(step, F.col(metric).cast("double").alias("m"), F.lit(0).alias("is_checkpoint")))
+    running = both.withColumn("best", F.max("m").over(Window.orderBy(step, "is_checkpoint").rowsBetween(Window.unboundedPreceding, 0)))
+    kept = running.filter("is_checkpoint = 1").select(step, "best")
+    top = kept.agg(F.min_by(step, F.struct((-F.col("best")).alias("less"), F.col(step))).alias("__top"))
+    return kept.crossJoin(F.broadcast(top)).select(step, "best", (F.col(step) == F.col("__top")).alias("chosen"))
+
+
+def result_summary(results: DataFrame, statements: str = "n_statements") -> DataFrame:
+    """(files, files_with_funding, statements)."""
+    return results.agg(F.count("*").alias("files"), F.count_if(F.col(statements) > 0).alias("files_with_funding"), F.coalesce(F.sum(statements), F.lit(0)).alias("statements"))
+
+
+def split_by_id(ids: DataFrame, key: str, fractions: Sequence[tuple[str, float]], rest: str, seed: int = 42) -> DataFrame:
+    """``ids`` with ``split``: by the place of each distinct id in a seeded hash order, sizes cut off to whole ids, what is left over to ``rest``.
+
+    Rows of one id share a split.
+    """
+    h = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
+    placed = with_position(ids.select(key).distinct().withColumn("__h", h), ["__h", key], "__n")
+    n = placed.count()
+    name, end = F.lit(None).cast("string"), 0
+    for split, share in fractions:
+        end += int(n * share)
+        name = F.coalesce(name, F.when(F.col("__n") < end, split))
+    return ids.join(placed.select(key, F.coalesce(name, F.lit(rest)).alias("split")), key)
+
+
+def upsampled(real: DataFrame, synthetic: DataFrame, times: int = 2) -> DataFrame:
+    """All synthetic rows and each real row ``times`` times."""
+    many = real.withColumn("__k", F.explode(F.sequence(F.lit(1), F.lit(times)))).drop("__k")
+    return many.unionByName(synthetic, allowMissingColumns=True)
+
+
+def union_all(tables: Sequence[DataFrame]) -> DataFrame:
+    """All rows; columns by name, those that a table lacks NULL, types promoted."""
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t, allowMissingColumns=True)
+    return out
+
+
+def most_common(rows: DataFrame, value: str, order: str) -> DataFrame:
+    """(value, n), most frequent first, ties by first occurrence in ``order``."""
+    return rows.groupBy(value).agg(F.count("*").alias("n"), F.min(order).alias("__first")).orderBy(F.desc("n"), "__first").drop("__first")
+
+
 def short_runs(lines: DataFrame, key: str, order: str, line: str, longest: int = 40, least: int = 5) -> DataFrame:
     """Lines in runs of ``least`` or more short ones (gaps and islands)."""
     w = Window.partitionBy(key).orderBy(order)

@@ -197,12 +197,6 @@ def bucket_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.bucket_and_overall(rows, "lang", F.count("*").alias("docs"), F.count_if(gold).alias("gold"), F.count_if(said).alias("predicted"), F.count_if(gold & said).alias("matched"), F.round(F.percentile("n_chars", 0.95), 4).alias("p95"))
 
 
-@query("SELECT event_type, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95, round(quantile_cont(value, 0.99), 6) AS p99, round(list_sort(list(value))[(floor(0.95 * (count(value) - 1)) + 1)::INT], 6) AS floor_p95 FROM events GROUP BY event_type")
-def latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
-    return e.groupBy("event_type").agg(*[F.round(F.percentile("value", q), 6).alias(n) for n, q in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99))], F.round(R.floor_percentile(F.col("value"), 0.95), 6).alias("floor_p95"))
-
-
 @query("SELECT user_id, round(list_reduce(list(value ORDER BY event_id), lambda a, x: a * 0.7::DOUBLE + x * 0.3::DOUBLE), 6) AS ema FROM events GROUP BY user_id")
 def ema_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.ema(table(spark, sf_dir, "events"), "user_id", "event_id", "value")
@@ -254,11 +248,6 @@ def pack_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.next_batch(table(spark, sf_dir, "orders"), "o_custkey", "o_totalprice", "o_orderkey", 500_000.0, 5).select("o_custkey", "o_orderkey", "rn")
 
 
-@query("SELECT user_id, event_id, max(value) OVER (PARTITION BY user_id ORDER BY event_id) AS best_so_far FROM events")
-def best_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.running_best(table(spark, sf_dir, "events"), "user_id", ["event_id"], "value").select("user_id", "event_id", "best_so_far")
-
-
 @query("""WITH l AS (SELECT 'in/' || o_orderkey || '.parquet' AS input_file, o_totalprice AS size_bytes FROM orders), m AS (SELECT 'in/' || o_orderkey || '.parquet' AS input_file, o_totalprice AS size_bytes, 1.0::DOUBLE AS est_seconds, 'assigned' AS status FROM orders WHERE o_orderstatus = 'F'),
  a AS (SELECT * FROM m UNION ALL SELECT input_file, size_bytes, size_bytes * 9e-7, 'pending' FROM l WHERE input_file NOT IN (SELECT input_file FROM m)), d AS (SELECT DISTINCT l_orderkey || '.parquet' AS base FROM lineitem WHERE l_linestatus = 'F')
  SELECT input_file, size_bytes, round(est_seconds, 6) AS est_seconds, CASE WHEN base IS NOT NULL THEN 'done' ELSE status END AS status FROM a LEFT JOIN d ON split_part(input_file, '/', 2) = base""")
@@ -281,38 +270,6 @@ def prediction_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.set_diff(lists("R"), lists("A"), "l_orderkey", "xs")
 
 
-@query(r"""WITH l AS (SELECT doc_id, unnest(range(len(string_split(text, chr(10)))))::INTEGER AS no, unnest(string_split(text, chr(10))) AS line FROM documents), s AS (SELECT *, no - row_number() OVER (PARTITION BY doc_id ORDER BY no) AS island FROM l WHERE length(trim(line)) < 40),
- r AS (SELECT doc_id, no, count(*) OVER (PARTITION BY doc_id, island) AS run FROM s) SELECT * FROM r WHERE run >= 2""")
-def heal_short_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("no", "line"))
-    return R.short_runs(lines, "doc_id", "no", "line", 40, 2)
-
-
-@query(r"""WITH l AS (SELECT doc_id, trim(unnest(string_split(text, chr(10)))) AS line FROM documents) SELECT doc_id, line, count(*) AS n FROM l WHERE length(line) >= 4 AND len(string_split(line, ' ')) <= 12 GROUP BY ALL HAVING count(*) > 1""")
-def heal_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("line")).withColumn("line", F.trim("line"))
-    short = lines.filter((F.length("line") >= 4) & (F.size(F.split("line", " ")) <= 12))
-    return short.groupBy("doc_id", "line").agg(F.count("*").alias("n")).filter("n > 1")
-
-
-@query(rf"""WITH {WORKS}, q AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM works) SELECT doc_id, CASE WHEN text IS NULL OR trim(text) = '' THEN 'empty' WHEN len(list_filter(l, lambda s: length(s) > 1000)) / len(l) > 0.2 THEN 'long lines'
- WHEN len(regexp_extract_all(text, '\s')) / length(text) < 0.05 THEN 'no blanks' WHEN length(text) / len(l) > 1000 THEN 'long mean line' ELSE 'ok' END AS verdict FROM q""")
-def heal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return works(spark, sf_dir).select("doc_id", T.quality_verdict(F.col("text")).alias("verdict"))
-
-
-@query(rf"WITH {WORKS} SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '(?m)^[ \t]*[0-9]{{1,4}}[ \t]*$', '', 'g'), '(?mi)^[ \t]*page [0-9]+( of [0-9]+)?[ \t]*$', '', 'g'), '(?m)\|[ \t]*[0-9]+[ \t]*$', '', 'g') AS text FROM works")
-def heal_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return works(spark, sf_dir).select("doc_id", T.remove_footers(F.col("text")).alias("text"))
-
-
-@query(r"SELECT doc_id, regexp_replace(regexp_replace(replace(replace(text, '. ', '-' || chr(10)), 'The ', '• The '), '(?m)^([ \t]*)[•▪◦●‣][ \t]*', '\1- ', 'g'), '([0-9A-Za-z_])-\n([a-z])', '\1\2', 'g') AS text FROM documents WHERE lang = 'en'")
-def heal_bullets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").filter("lang = 'en'")
-    broken = F.replace(F.replace(F.col("text"), F.lit(". "), F.lit("-\n")), F.lit("The "), F.lit("• The "))
-    return rows.select("doc_id", T.fix_hyphenation(T.normalize_bullets(broken)).alias("text"))
-
-
 @query("SELECT doc_id, coalesce(quality, -1)::INTEGER AS gold, CASE WHEN quality IS NULL THEN 'ungraded' WHEN toxic = 1 THEN 'toxic' ELSE 'graded' END AS side FROM documents LEFT JOIN labels USING (doc_id)")
 def doi_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = table(spark, sf_dir, "documents").select("doc_id").join(table(spark, sf_dir, "labels"), "doc_id", "left")
@@ -320,27 +277,12 @@ def doi_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("doc_id", F.coalesce("quality", F.lit(-1)).alias("gold"), side.alias("side"))
 
 
-@query("SELECT event_type, user_id % 3 AS field, count(*) AS n, count(DISTINCT user_id) AS users, round(100.0 * count(*) / sum(count(*)) OVER (), 4) AS percent FROM events GROUP BY ALL")
-def error_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
-    total = e.agg(F.count("*").alias("total"))
-    one = e.groupBy("event_type", (F.col("user_id") % 3).alias("field")).agg(F.count("*").alias("n"), F.countDistinct("user_id").alias("users"))
-    return one.crossJoin(F.broadcast(total)).select("event_type", "field", "n", "users", F.round(100.0 * F.col("n") / F.col("total"), 4).alias("percent"))
-
-
 @query("SELECT doc_id, CASE WHEN ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT < 429496729 THEN 'test' ELSE 'train' END AS split FROM documents")
 def id_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 8), 16, 10).cast("bigint")
     return table(spark, sf_dir, "documents").select("doc_id", F.when(h < 429496729, "test").otherwise("train").alias("split"))
 
 
-@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE (o_orderkey % 50) * CASE o_orderkey % 3 WHEN 1 THEN 60 ELSE 3600 END END::BIGINT AS seconds FROM orders")
-def retry_hint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("o_orderkey")
-    log = F.when(k % 3 == 0, F.lit("no hint")).when(k % 3 == 1, F.concat(F.lit("Retry after "), k % 50, F.lit(" minutes"))).otherwise(F.concat(F.lit("please retry in "), k % 50, F.lit(" hours.")))
-    return table(spark, sf_dir, "orders").select("o_orderkey", T.retry_seconds(log).alias("seconds"))
-
-
 @query()
 def name_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation").select("n_name")
