@@ -83,15 +83,20 @@ def commit_groups(shards: DataFrame, per_commit: int, name: str = "shard") -> Da
     return numbered.groupBy(F.floor(F.col("__n") / per_commit).alias("commit")).agg(F.array_sort(F.collect_list(name)).alias("shards"))
 
 
+def typed_manifest(rows: DataFrame) -> DataFrame:
+    """``rows`` under the manifest's fixed schema, missing columns NULL, others dropped."""
+    empty = rows.sparkSession.createDataFrame([], MANIFEST)
+    return empty.unionByName(rows, allowMissingColumns=True).select(*empty.columns)
+
+
 def write_manifest(rows: DataFrame, path: str) -> None:
-    """The manifest under its fixed schema, missing columns NULL, also where it is empty, atomically."""
-    spark = rows.sparkSession
-    typed = spark.createDataFrame([], MANIFEST).unionByName(rows, allowMissingColumns=True)
-    save_results(typed.select(*spark.createDataFrame([], MANIFEST).columns), path, "parquet")
+    """The manifest under its fixed schema, also where it is empty, atomically."""
+    save_results(typed_manifest(rows), path, "parquet")
 
 
 def write_run_summary(manifest: DataFrame, path: str, cost_per_hour: float = 5.0) -> dict:
     """One JSON object of the run: files by status, rows, seconds, cost and failed files; and the manifest beside it."""
+    manifest = typed_manifest(manifest)
     by = {r["status"]: r["n"] for r in manifest.groupBy("status").agg(F.count("*").alias("n")).collect()}
     done = F.col("status") == "done"
     total = manifest.agg(F.sum(F.when(done, F.col("rows"))).alias("rows"), F.sum(F.when(done, F.col("elapsed_s"))).alias("seconds")).first()

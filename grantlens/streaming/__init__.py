@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,8 +21,6 @@ def document_stream(spark: SparkSession, path: str, schema: str, files_per_trigg
 
 def guarded(f: Callable[[str], str], kind: str = "string") -> Callable[[Column], Column]:
     """(value, error) of a Python function of one text, in Arrow batches: a failed row has an error instead of a value, and no row is lost."""
-    import pandas as pd
-
     def apply(x: Column) -> Column:
         @F.pandas_udf(f"value {kind}, error string")
         def run(s: pd.Series) -> pd.DataFrame:
