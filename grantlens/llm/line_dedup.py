@@ -43,10 +43,10 @@ def _doc(df: DataFrame, id_col: str, text: Column) -> Column:
 
 
 def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, line, key, len, *FEATURES) of every line that is not blank when normalised.
+    """(doc, line, at, key, len, *FEATURES) of every line that is not blank when normalised.
 
-    ``doc`` names the row by id and text, ``line`` counts from 0, ``key`` is a 128-bit hash of the normalised line, ``len``
-    its length.
+    ``doc`` names the row by id and text, ``line`` counts from 0, ``at`` sorts as (id, NULLs last, text hash, line),
+    ``key`` is a 128-bit hash of the normalised line, ``len`` its length.
     """
     names = ["key", "len", *FEATURES]
 
@@ -70,20 +70,27 @@ def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             at = np.flatnonzero(rows[code, 0] > 0)
             code = code[at]
             columns = [pa.array(rows[code, k].astype(np.int32) if k == 0 else rows[code, k]) for k in range(rows.shape[1])]
-            yield pa.RecordBatch.from_arrays([part.column("doc").take(pa.array(owner[at])), pa.array(number[at].astype(np.int32)), pa.array(keys, pa.binary()).take(pa.array(code)), *columns], ["doc", "line", *names])
+            where = _order(part.column("doc"), owner[at], number[at])
+            yield pa.RecordBatch.from_arrays([part.column("doc").take(pa.array(owner[at])), pa.array(number[at].astype(np.int32)), where, pa.array(keys, pa.binary()).take(pa.array(code)), *columns], ["doc", "line", "at", *names])
 
     text = F.col(text_col).cast("string")
     one = docs.select(_doc(docs, id_col, text).alias("doc"), text.alias("text"))
     wide = ", ".join(f"{c} bigint" for c in FEATURES)
-    return one.filter("text is not null").mapInArrow(tidy(make), f"doc struct<none: boolean, id: bigint, md5: binary>, line int, key binary, len int, {wide}")
+    return one.filter("text is not null").mapInArrow(tidy(make), f"doc struct<none: boolean, id: bigint, md5: binary>, line int, at decimal(38,0), key binary, len int, {wide}")
 
 
-def _order() -> Column:
-    """Where a line stands: one number that sorts as (id, NULLs last, text hash, line), for a hash aggregation."""
-    big = lambda x: x.cast("decimal(38,0)")
-    number = F.coalesce(big(F.col("doc.id")) + big(F.lit("9223372036854775808")), big(F.lit("18446744073709551616")))
-    text = F.conv(F.substring(F.hex("doc.md5"), 1, 6), 16, 10).cast("bigint")
-    return big(number * big(F.lit(1 << 55)) + big(text * F.lit(1 << 31) + F.col("line")))
+def _order(doc: pa.StructArray, owner: np.ndarray, line: np.ndarray) -> pa.Array:
+    """Where a line stands: one number that sorts as (id, NULLs last, text hash, line), for a hash aggregation.
+
+    It has 65 bits of the id, 24 of the text's hash and 31 of the line's number.
+    """
+    none = doc.field("none").to_numpy(zero_copy_only=False)
+    number = pc.fill_null(doc.field("id"), 0).to_numpy().view(np.uint64) ^ np.uint64(1 << 63)
+    text = np.frombuffer(b"".join(x[:3] + b"\0" for x in doc.field("md5").to_pylist()), ">u4").astype(np.uint64) >> np.uint64(8)
+    high = np.where(none, np.uint64(1 << 55), number >> np.uint64(9))
+    low = np.where(none, np.uint64(0), number << np.uint64(55)) | text << np.uint64(31)
+    both = np.column_stack([low[owner] | line.astype(np.uint64), high[owner]])
+    return pa.Array.from_buffers(pa.decimal128(38, 0), len(both), [None, pa.py_buffer(np.ascontiguousarray(both))])
 
 
 def _features(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -241,15 +248,14 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     lines are never dropped.
     """
     lines = materialise(line_table(docs, id_col, text_col), "lines")
-    first = _order()
     # one hash aggregation of fixed-width values; lines of one key have equal features
-    keyed = lines.groupBy("key").agg(F.first("len").alias("len"), *[F.first(c).alias(c) for c in FEATURES], F.min(first).alias("first"), F.count("*").alias("n"))
+    keyed = lines.groupBy("key").agg(F.first("len").alias("len"), *[F.first(c).alias(c) for c in FEATURES], F.min("at").alias("first"), F.count("*").alias("n"))
     nodes = _numbered(keyed, node_bits)
     pairs = materialise(sketch_pairs(nodes, nodes.count(), similarity), "line-pairs")
     ends = materialise(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "line-ends")
     places = nodes.select("node", "first").join(small_side(ends), "node", "left_semi").select("node", F.col("first").alias("at"))
     places = materialise(places, "line-places")
-    found = lines.select(first.alias("at"), "doc.md5", "line").join(small_side(places), "at").select("node", "md5", "line")
+    found = lines.select("at", "doc.md5", "line").join(small_side(places), "at").select("node", "md5", "line")
     texts = _texts(docs, text_col, materialise(found.dropDuplicates(["node"]), "line-found"))
     # pairs within a group that verified pairs connect need no look: each node's pair with its smallest partner goes first
     soon = materialise(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "line-soon")
@@ -264,7 +270,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     touched = materialise(rooted.select("key", "first", F.coalesce("root", "node").alias("root")), "line-touched")
     kept = touched.groupBy("root").agg(F.min("first").alias("kept"))
     by_key = materialise(touched.join(kept, "root").select("key", "kept"), "line-kept")
-    occurrences = lines.select("doc", "line", "key", first.alias("at")).join(small_side(by_key), "key")
+    occurrences = lines.select("doc", "line", "key", "at").join(small_side(by_key), "key")
     return occurrences.filter(F.col("at") != F.col("kept")).groupBy("doc").agg(F.array_sort(F.collect_set("line")).alias("lines"))
 
 

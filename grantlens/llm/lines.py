@@ -16,15 +16,16 @@ _BLANK, _LETTER, _DIGIT, _BREAK = 0, 1, 2, 3
 
 
 @lru_cache(1)
-def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(class, lower case, random value) of each code point of the basic plane."""
-    kind, low = np.zeros(1 << 16, np.uint8), np.arange(1 << 16, dtype=np.uint32)
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """(class << 24 | lower case, random value) of each code point of the basic plane; all digits are 0."""
+    kind, low = np.zeros(1 << 16, np.uint32), np.arange(1 << 16, dtype=np.uint32)
     for i in range(1 << 16):
         kind[i], low[i] = _of(chr(i))
     kind[48:58], kind[10] = _DIGIT, _BREAK
+    low[48:58] = 48
     value = mix64(np.arange(1 << 16).astype(np.uint64), 99)
     value[[10, 32]] = 0
-    return kind, low, value
+    return kind << np.uint32(24) | low, value
 
 
 def _of(c: str) -> tuple[int, int]:
@@ -34,30 +35,26 @@ def _of(c: str) -> tuple[int, int]:
 
 def _normal_points(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(code points of the normal lines with a break after each, where words start, line of each word)."""
-    kinds, lows, _ = _tables()
+    table, _ = _tables()
     flat = np.frombuffer(("\n".join(lines) + "\n").encode("utf-32-le", "surrogatepass"), "<u4")
-    plane = flat < 1 << 16
-    at = np.where(plane, flat, 0)
-    kind, point = kinds[at], lows[at]
-    if not plane.all():
-        far, back = np.unique(flat[~plane], return_inverse=True)
-        each = [_of(chr(c)) for c in far]
-        kind[~plane], point[~plane] = np.array([k for k, _ in each], np.uint8)[back], np.array([c for _, c in each], np.uint32)[back]
-    keep = np.r_[True, (kind[1:] != _DIGIT) | (kind[:-1] != _DIGIT)]  # of a run of digits one stays
-    kind, point = kind[keep], point[keep]
-    point[kind == _DIGIT] = 48
-    word = (kind == _LETTER) | (kind == _DIGIT)
-    starts = word & ~np.r_[False, word[:-1]]
-    line = np.cumsum(kind == _BREAK) - (kind == _BREAK)
-    at = np.flatnonzero(starts)
-    owner = line[at]
-    gap = np.zeros(len(kind), bool)
-    later = at[np.r_[False, owner[1:] == owner[:-1]]] if len(at) else at
-    gap[later - 1] = True  # the one blank before each word but the first of a line
-    keep = word | gap | (kind == _BREAK)
-    point[gap] = 32
-    place = np.cumsum(keep) - 1
-    return point[keep], place[at], owner
+    both = table.take(flat, mode="clip")
+    if int(flat.max()) >= 1 << 16:
+        at = np.flatnonzero(flat >= 1 << 16)
+        far, back = np.unique(flat[at], return_inverse=True)
+        both[at] = np.array([k << 24 | c for k, c in map(_of, map(chr, far))], np.uint32)[back]
+    digit = both >> np.uint32(24) == _DIGIT
+    both = both[np.r_[True, ~(digit[1:] & digit[:-1])]]  # of a run of digits one stays
+    kind, point = (both >> np.uint32(24)).astype(np.uint8), both & np.uint32(0xFFFFFF)
+    keep = kind != _BLANK
+    word = keep & (kind != _BREAK)
+    starts = word.copy()
+    starts[1:] = word[1:] > word[:-1]
+    at, breaks = np.flatnonzero(starts), np.flatnonzero(kind == _BREAK)
+    owner = np.repeat(np.arange(len(breaks)), np.diff(np.searchsorted(at, breaks), prepend=0))
+    gap = at[np.r_[False, owner[1:] == owner[:-1]]] - 1 if len(at) else at  # the one blank before each word but the first of a line
+    keep[gap], point[gap] = True, 32
+    place = np.cumsum(keep, dtype=np.int32 if len(keep) < 1 << 31 else np.int64)[at] - 1
+    return point[keep], place, owner
 
 
 class _Powers:
@@ -97,7 +94,7 @@ def features(lines: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         return normal, fp, sketch
     up, down = _Powers.of(len(points))
     with np.errstate(over="ignore"):
-        value = _tables()[2][points & 0xFFFF]  # 0 for blanks and breaks
+        value = _tables()[1].take(points & 0xFFFF)  # 0 for blanks and breaks
         words = mix64(np.add.reduceat(value * up[: len(points)], start) * down[start])
         # SimHash over the set of words
         key = np.sort(owner.astype(np.uint64) << np.uint64(40) | words >> np.uint64(24))
