@@ -377,13 +377,9 @@ def test_mixing_to_weights(spark, weights, default):
 
 def test_line_order():
     """One number sorts as (id, NULLs last, text hash, line), whatever the id."""
-    import hashlib
-
-    from grantlens.llm.line_dedup import _order
-
     ids, md5 = [None, -(2**63), 2**63 - 1, 0, -1, 5, 5], [hashlib.md5(str(i).encode()).digest() for i in range(7)]
     kind = pa.struct([("none", pa.bool_()), ("id", pa.int64()), ("md5", pa.binary())])
     doc = pa.array([{"none": i is None, "id": i, "md5": m} for i, m in zip(ids, md5)], kind)
     owner, line = np.repeat(np.arange(7), 3), np.tile([0, 7, 2**31 - 1], 7)
     key = lambda o, n: (((1 << 64 if ids[o] is None else ids[o] + (1 << 63)) << 55) + (int.from_bytes(md5[o][:3], "big") << 31)) + int(n)
-    assert [int(x) for x in _order(doc, owner, line).to_pylist()] == [key(o, n) for o, n in zip(owner, line)]
+    assert [int(x) for x in line_dedup._order(doc, owner, line).to_pylist()] == [key(o, n) for o, n in zip(owner, line)]
