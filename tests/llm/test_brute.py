@@ -167,6 +167,22 @@ def test_simhash_groups(spark, documents):
     assert pairs and found >= 0.95 * len(pairs)
 
 
+@pytest.mark.parametrize("block", [10**6, 70])
+def test_every_close_pair_is_found(spark, monkeypatch, block):
+    monkeypatch.setattr(fingerprints, "BLOCK_ROWS", block)
+    rng = np.random.default_rng(3)
+    one = rng.integers(0, 2, (150, 320), dtype=np.uint8)
+    two = one.copy()
+    for k in range(150):
+        two[k, rng.permutation(320)[: 20 + k % 45]] ^= 1  # 20 to 64 bits
+    fp = np.packbits(np.concatenate([one, two]), axis=1, bitorder="little")
+    table = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in enumerate(fp)], "node bigint, fp binary").repartition(3)
+    got = [tuple(r) for r in fingerprints.all_pairs(table, 300, 5, 58).collect()]
+    whole = np.bitwise_count(fp[:, None] ^ fp[None]).sum(axis=2)
+    want = [(int(i), int(j), int(whole[i, j])) for i, j in zip(*np.nonzero(whole <= 58)) if i < j]
+    assert len(want) > 120 and sorted(got) == sorted(want)
+
+
 def test_connected_groups(spark):
     rng = random.Random(5)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)]
