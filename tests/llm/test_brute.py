@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from grantlens.llm import ann, edits, fingerprints, langid, line_dedup, lines, lm_scoring, mixing, packing, sharding, simhash_dedup, warc
+from grantlens.llm import ann, components, edits, fingerprints, langid, line_dedup, lines, lm_scoring, mixing, packing, sharding, simhash_dedup, warc
 from grantlens.llm.common import fresh_path
 from grantlens.llm.components import connected_groups
 
@@ -183,6 +183,36 @@ def test_every_close_pair_is_found(spark, monkeypatch, block):
     assert len(want) > 120 and sorted(got) == sorted(want)
 
 
+def test_pipeline_stage_keeps_one_of_each_connected_group(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    each = simhash_dedup.fingerprints(docs, "doc_id", "text").collect()
+    fp = np.array([np.frombuffer(r.fp, "<u8") for r in each])
+    root = {r.id: r.id for r in each}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(fp)):
+        for j in np.flatnonzero(np.bitwise_count(fp[i + 1 :] ^ fp[i]).sum(axis=1) <= simhash_dedup.MOST_BITS) + i + 1:
+            a, b = find(each[i].id), find(each[j].id)
+            root[max(a, b)] = min(a, b)
+    got = {r.id: r.keep_id for r in simhash_dedup.near_groups(docs).collect()}
+    assert {k: got.get(k, k) for k in root} == {k: find(k) for k in root}
+    gone = {r.doc_id for r in docs.select("doc_id").collect()} - {r.doc_id for r in simhash_dedup.near_dedup(docs).select("doc_id").collect()}
+    assert gone == {k for k in root if find(k) != k}
+
+
+def test_connected_groups_of_many_edges(spark, monkeypatch):
+    monkeypatch.setattr(components, "LOCAL_EDGES", 50)
+    batches = [pa.RecordBatch.from_arrays([pa.array([i] * 30), pa.array(range(i + 1, i + 31))], ["a", "b"]) for i in range(20)]
+    got = [x.to_pydict() for x in components._contract(iter(batches))]
+    edges = [(a, b) for x in got for a, b in zip(x["node"], x["root"])]
+    node, root = components.forest(*map(np.array, zip(*edges)))
+    assert max(len(x["node"]) for x in got) <= 110 and dict(zip(node.tolist(), root.tolist())) == dict.fromkeys(range(50), 0)
+
+
 def test_connected_groups(spark):
     rng = random.Random(5)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)]
