@@ -16,8 +16,8 @@ WINDOW = 2048  # tokens (words)
 #: Tokens of the pieces of one index shard, about.
 SHARD_TOKENS = 1_000_000
 SHARD_PIECES = 1 << 16
-#: Lists that the driver gets in one round, from all tasks, and neighbours kept of each size class.
-LISTS, KEEP = 12_000, 16
+#: Neighbours of one size class that the driver gets in one round, of all seeds and tasks, and that it gets for one seed.
+NEIGHBOURS, KEEP = 400_000, 256
 K1, B = 1.2, 0.75
 
 
@@ -88,7 +88,7 @@ def index_shard(terms: list[np.ndarray], counts: list[np.ndarray], lengths: np.n
 
 
 def search_shard(term: np.ndarray, doc: np.ndarray, weight: np.ndarray, nums: np.ndarray, sizes: np.ndarray, asked: list[np.ndarray], rooms: np.ndarray, classes: np.ndarray, keep: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(query, its best pieces of every size class) over the pieces of one shard; ``nums`` ascend."""
+    """(query, its best pieces of every size class) over the pieces of one shard, of those that score; ``nums`` ascend."""
     n = len(nums)
     by_size = np.argsort(sizes, kind="stable")
     place = np.empty(n, np.int64)
@@ -96,16 +96,16 @@ def search_shard(term: np.ndarray, doc: np.ndarray, weight: np.ndarray, nums: np
     doc, ordered, tie = place[doc], sizes[by_size], SHARD_PIECES - 1 - by_size
     vocabulary, start = np.unique(term, return_index=True)
     start = np.append(start, len(term))
-    step = max(1, min(32, (1 << 21) // n))
+    step = max(1, min(32, (1 << 18) // n))
     for low in range(0, len(asked), step):
         some = asked[low : low + step]
-        query, want = np.repeat(np.arange(len(some)), [len(x) for x in some]), np.concatenate(some)
-        at = np.minimum(np.searchsorted(vocabulary, want), max(0, len(vocabulary) - 1))
-        hit = np.flatnonzero(vocabulary[at] == want) if len(vocabulary) else np.zeros(0, np.int64)
-        query, at = query[hit], at[hit]
-        size = start[at + 1] - start[at]
-        post = np.repeat(start[at] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
-        score = np.bincount(np.repeat(query, size) * n + doc[post], weight[post], len(some) * n).reshape(len(some), n)
+        score = np.zeros((len(some), n))
+        for i, want in enumerate(some):
+            at = np.minimum(np.searchsorted(vocabulary, want), max(0, len(vocabulary) - 1))
+            at = at[vocabulary[at] == want] if len(vocabulary) else at[:0]
+            if len(at):  # one seed's postings at a time: they stay in the cache
+                cuts = list(zip(start[at].tolist(), start[at + 1].tolist()))
+                score[i] = np.bincount(np.concatenate([doc[x:y] for x, y in cuts]), np.concatenate([weight[x:y] for x, y in cuts]), n)
         key = np.rint(score * 1e9).astype(np.int64) << 16 | tie
         key[ordered[None, :] > rooms[low : low + step, None]] = -1
         mark = np.zeros(key.shape, bool)
@@ -114,7 +114,7 @@ def search_shard(term: np.ndarray, doc: np.ndarray, weight: np.ndarray, nums: np
                 np.put_along_axis(mark, np.argpartition(key[:, :k], k - keep, axis=1)[:, k - keep :], True, axis=1)
             else:
                 mark[:, :k] = True
-        mark &= key >= 0
+        mark &= key >= 1 << 16
         for i in range(len(some)):
             j = np.flatnonzero(mark[i])
             found = np.empty(len(j), FOUND)
@@ -125,34 +125,47 @@ def search_shard(term: np.ndarray, doc: np.ndarray, weight: np.ndarray, nums: np
 class Filler:
     """The greedy fill: each seed, in order, takes its best unused neighbours that fit.
 
-    The seed is the first unused piece.  Neighbours follow by score, ties by number; those that share no word come last,
-    so that windows are filled all the same.  A piece that does not fit is passed over for this window.  ``fill`` uses
-    the lists of a round of seeds only as far as they surely hold the next best piece; where one ends too early, the
-    round does, and the seed is asked again with the room it has left.
+    The seed is the first unused piece.  Neighbours follow by score, ties by number; those that score nothing come last,
+    by number, so that windows are filled all the same: these need no search.  A piece that does not fit is passed over
+    for this window.  ``fill`` uses the lists of a round of seeds only as far as they surely hold the next best piece;
+    where one ends too early, the round does, and the seed is asked again with the room it has left and a longer list.
     """
 
     def __init__(self, sizes: np.ndarray, window: int):
         self.sizes, self.window, self.classes = sizes, window, size_classes(window)
         self.free = np.ones(len(sizes), bool)
-        self.count = np.bincount(sizes, minlength=window + 1)
-        self.least = self.next = 0
+        self.by_size = np.argsort(sizes, kind="stable")
+        self.head = np.searchsorted(sizes[self.by_size], np.arange(window + 1))
+        self.ends = np.append(self.head[1:], len(sizes))
+        self.least = np.full(window + 1, len(sizes))  # the first unused piece of each size
+        some = self.head < self.ends
+        self.least[some] = self.by_size[self.head[some]]
+        self.next, self.asking = 0, 64
         self.open: list[int] = []  # the window being filled
         self.room, self.stuck, self.done = 0, 0, []
 
     def take(self, num: int) -> None:
+        size = int(self.sizes[num])
         self.free[num] = False
-        self.count[self.sizes[num]] -= 1
         self.open.append(num)
-        self.room -= int(self.sizes[num])
+        self.room -= size
+        if num == self.least[size]:
+            k, end = int(self.head[size]), int(self.ends[size])
+            while k < end and not self.free[self.by_size[k]]:
+                k += 1
+            self.head[size] = k
+            self.least[size] = self.by_size[k] if k < end else len(self.sizes)
 
     def seeds(self, most: int) -> tuple[np.ndarray, np.ndarray]:
         """The seeds to ask for next, ``most`` about, and their room."""
         left = np.flatnonzero(self.free[self.next :])
-        nums = self.next + left[: max(1, min(most, max(64, len(left) // 8)) >> self.stuck)]
+        nums = self.next + left[: max(1, min(most, self.asking) >> max(0, self.stuck - 1))]
         rooms = self.window - self.sizes[nums]
         return (np.append(self.open[0], nums), np.append(self.room, rooms)) if self.open else (nums, rooms)
 
-    def fill(self, seeds: np.ndarray, lists: list[np.ndarray], keep: int) -> None:
+    def fill(self, seeds: np.ndarray, lists: list[list[np.ndarray]], keep: int) -> None:
+        """``lists`` has for each seed what each task found, by score: the first ``keep`` of each size class at least."""
+        before = len(self.done)
         for seed, found in zip(seeds.tolist(), lists):
             if not self.open:
                 if not self.free[seed]:
@@ -161,25 +174,32 @@ class Filler:
                 self.take(seed)
             if not self._one(found, keep):
                 self.stuck += 1
+                self.asking = max(16, 2 * (len(self.done) - before))
                 return
             self.done.append(self.open)
             self.open, self.stuck, self.next = [], 0, seed
+        self.asking *= 2
 
-    def _one(self, found: np.ndarray, keep: int) -> bool:
-        size, num = found["size"], found["num"]
+    def _one(self, lists: list[np.ndarray], keep: int) -> bool:
+        found, owner = np.concatenate([np.zeros(0, FOUND), *lists]), np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+        order = np.lexsort((found["num"], -found["score"]))
+        owner, size, num = owner[order], found["size"][order], found["num"][order]
+        known = -1
         at = 0
-        while True:
-            while self.least <= self.window and not self.count[self.least]:
-                self.least += 1
-            if self.least > self.room:
-                return True
-            inside = np.flatnonzero(size <= self.classes[np.searchsorted(self.classes, self.room)])
-            sure = int(inside[keep - 1]) + 1 if len(inside) >= keep else len(size)
+        while (first := int(self.least[: self.room + 1].min())) < len(self.sizes):  # some piece fits
+            if (now := int(np.searchsorted(self.classes, self.room))) != known:  # as far as the first list that may end too early
+                inside, known, sure, whole = np.flatnonzero(size <= self.classes[now]), now, len(size), True
+                for k in np.flatnonzero(np.bincount(owner[inside], minlength=1) >= keep):
+                    sure, whole = min(sure, int(inside[np.flatnonzero(owner[inside] == k)[keep - 1]]) + 1), False
             fits = at + np.flatnonzero((size[at:sure] <= self.room) & self.free[num[at:sure]])
-            if not len(fits):
-                return len(inside) < keep
-            at = int(fits[0]) + 1
-            self.take(int(num[at - 1]))
+            if len(fits):
+                at = int(fits[0]) + 1
+                self.take(int(num[at - 1]))
+            elif whole:  # whatever scores and fits is taken: the others score nothing
+                self.take(first)
+            else:
+                return False
+        return True
 
 
 def _terms(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -227,8 +247,8 @@ def _indexed(pieces: DataFrame, n_shards: int, n: int, mean: float) -> DataFrame
     return materialise(rows.mapInArrow(tidy(build), "shard int, nums binary, sizes binary, term binary, doc binary, weight binary"), "pack-index")
 
 
-def _lists(index: DataFrame, pieces: DataFrame, filler: Filler, seeds: np.ndarray, rooms: np.ndarray, keep: int) -> list[np.ndarray]:
-    """The best free pieces of every size class for each seed, over all shards of the index."""
+def _lists(index: DataFrame, pieces: DataFrame, filler: Filler, seeds: np.ndarray, rooms: np.ndarray, keep: int) -> list[list[np.ndarray]]:
+    """The best free pieces of every size class for each seed, from each task over its shards of the index."""
     sc, classes = index.sparkSession.sparkContext, filler.classes
     wanted = index.sparkSession.createDataFrame(pa.table({"num": seeds}))
     got = pieces.filter(F.col("num").between(int(seeds.min()), int(seeds.max()))).join(F.broadcast(wanted), "num").select("num", "terms").toArrow()
@@ -255,13 +275,12 @@ def _lists(index: DataFrame, pieces: DataFrame, filler: Filler, seeds: np.ndarra
             blobs = [best_of(np.concatenate(x), classes, keep).tobytes() for x in found.values()]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(blobs, pa.binary())], ["seed", "found"])
 
-
     got = index.coalesce(2 * sc.defaultParallelism).mapInArrow(tidy(look), "seed int, found binary").toArrow()
     sent.destroy()
     each: list[list[np.ndarray]] = [[] for _ in seeds]
     for i, x in zip(got.column("seed").to_pylist(), got.column("found").to_pylist()):
         each[i].append(np.frombuffer(x, FOUND))
-    return [best_of(np.concatenate(x), classes, keep) if x else np.zeros(0, FOUND) for x in each]
+    return each
 
 
 def pack_documents(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = SHARD_TOKENS) -> DataFrame:
@@ -319,10 +338,11 @@ def pack_documents(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
 
         sharded = placed.select("num", "n_tokens", "terms").mapInArrow(place, "shard int, num bigint, n_tokens int, terms binary")
         index = _indexed(sharded, len(firsts), len(sizes), float(sizes.mean()))
+        tasks = min(len(firsts), 2 * spark.sparkContext.defaultParallelism)
         filler, written = Filler(sizes, window), 0
         while filler.open or filler.free.any():
-            seeds, rooms = filler.seeds(max(8, LISTS // (2 * spark.sparkContext.defaultParallelism)))
-            keep = KEEP << min(filler.stuck, 20)
+            keep = max(16, min(KEEP, 2 * KEEP // tasks)) << min(filler.stuck, 20)
+            seeds, rooms = filler.seeds(max(8, NEIGHBOURS // (tasks * keep)))
             filler.fill(seeds, _lists(index, placed, filler, seeds, rooms, keep), keep)
             if len(filler.done) > 100_000 or not (filler.open or filler.free.any()):
                 flush(filler.done, written)

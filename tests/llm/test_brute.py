@@ -137,6 +137,43 @@ def test_packing_does_not_depend_on_shards(spark, documents):
     assert sorted(mine.values()) == sorted([rows[i].doc_id for i in w] for w in plain_pack([r.text.split() for r in rows], 600))
 
 
+def test_packing_asks_few_seeds_for_each_window():
+    rng = np.random.default_rng(1)
+    sizes = rng.integers(1, 400, 3000)
+    sizes[rng.random(3000) < 0.1] = 1  # every seed would take the same small pieces, which score nothing
+    parts, score = np.array_split(np.arange(3000), 4), {}
+    filler, asked, rounds = packing.Filler(sizes, 2048), 0, 0
+
+    def points(seed):
+        if seed not in score:
+            mine = np.random.default_rng(seed)
+            score[seed] = np.where((mine.random(3000) < 0.3) & (sizes > 1), mine.integers(1, 50, 3000), 0)
+        return score[seed]
+
+    def found(seed, room, part, keep):
+        at = part[filler.free[part] & (sizes[part] <= room) & (points(seed)[part] > 0)]
+        out = np.empty(len(at), packing.FOUND)
+        out["score"], out["num"], out["size"] = points(seed)[at], at, sizes[at]
+        return packing.best_of(out, filler.classes, keep)
+
+    while filler.open or filler.free.any():
+        keep = 32 << filler.stuck
+        seeds, rooms = filler.seeds(200)
+        asked, rounds = asked + len(seeds), rounds + 1
+        filler.fill(seeds, [[found(s, r, x, keep) for x in parts] for s, r in zip(seeds.tolist(), rooms.tolist())], keep)
+    used, want = np.zeros(3000, bool), []
+    for s in range(3000):
+        if not used[s]:
+            mine, room = [s], 2048 - sizes[s]
+            used[s] = True
+            for d in np.lexsort((np.arange(3000), -points(s))).tolist():
+                if not used[d] and sizes[d] <= room:
+                    mine.append(d)
+                    used[d], room = True, room - sizes[d]
+            want.append(mine)
+    assert filler.done == want and asked < 4 * len(want) and rounds < 40
+
+
 def test_packing_keeps_every_word(documents):
     got = packing.pack_documents(documents, 256, shard_tokens=5000).collect()
     spans = {}
