@@ -341,7 +341,7 @@ def pack_documents(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
         tasks = min(len(firsts), 2 * spark.sparkContext.defaultParallelism)
         filler, written = Filler(sizes, window), 0
         while filler.open or filler.free.any():
-            keep = max(16, min(KEEP, 2 * KEEP // tasks)) << min(filler.stuck, 20)
+            keep = max(16, min(KEEP, 8 * KEEP // tasks)) << min(filler.stuck, 20)
             seeds, rooms = filler.seeds(max(8, NEIGHBOURS // (tasks * keep)))
             filler.fill(seeds, _lists(index, placed, filler, seeds, rooms, keep), keep)
             if len(filler.done) > 100_000 or not (filler.open or filler.free.any()):
