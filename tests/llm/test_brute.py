@@ -6,6 +6,7 @@ import io
 import math
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from grantlens.llm import ann, components, edits, fingerprints, langid, line_dedup, lines, lm_scoring, mixing, packing, sharding, simhash_dedup, warc
-from grantlens.llm.common import fresh_path
+from grantlens.llm.common import fresh_path, shared_dir
 from grantlens.llm.components import connected_groups
 
 SF = "/root/testdata/sf0.001"
@@ -174,6 +175,40 @@ def test_packing_asks_few_seeds_for_each_window():
     assert filler.done == want and asked < 4 * len(want) and rounds < 40
 
 
+def test_packing_writes_each_posting_once_forward_and_once_inverted(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    postings = sum(len(set(r.text.split())) for r in docs.collect() if r.text)
+
+    def size():
+        return sum(x.stat().st_size for x in Path(shared_dir(spark).removeprefix("file://")).rglob("grantlens-pack-*/*.parquet"))
+
+    before = size()
+    packing.pack_documents(docs)
+    assert size() - before < 12 * postings  # 6 bytes forward, 4 inverted and 8 for each term of a block, as compressed
+
+
+def test_packing_block_finds_the_best_of_every_class():
+    rng = np.random.default_rng(5)
+    nums, sizes = np.sort(rng.choice(9000, 700, replace=False)), rng.integers(1, 300, 700)
+    terms = [np.unique(rng.zipf(1.3, 40) % 500).astype(np.uint32) for _ in range(700)]
+    counts = [rng.integers(1, 4, len(x)).astype(np.uint16) for x in terms]
+    free, classes, known = rng.random(700) < 0.8, packing.size_classes(300), np.arange(500, dtype=np.uint32)
+    idf = rng.random(500) * 5
+    block = packing.Block(nums, sizes, packing.postings(nums, terms, counts), free, known, idf, 100.0, classes, packing.exact_scale(300, 700))
+    rooms = rng.integers(50, 300, 40)
+    held, got = block.search([x.astype(np.int32) for x in terms[:40]], rooms, 6)
+    ends = np.cumsum(held)
+    for q in range(40):
+        each = []
+        for d in np.flatnonzero(free & (sizes <= rooms[q])).tolist():
+            tf = dict(zip(terms[d].tolist(), counts[d].tolist()))
+            score = sum(idf[w] * tf[w] * 2.2 / (tf[w] + 1.2 * (0.25 + 0.75 * sizes[d] / 100)) for w in terms[q].tolist() if w in tf)
+            if round(score * 1e9) > 0:
+                each.append((round(score * 1e9), int(nums[d]), int(sizes[d])))
+        want = {x[1] for c in classes for x in sorted((x for x in each if x[2] <= c), key=lambda x: (-x[0], x[1]))[:6]}
+        assert set(got[ends[q] - held[q] : ends[q]]["num"].tolist()) == want
+
+
 def test_packing_keeps_every_word(documents):
     got = packing.pack_documents(documents, 256, shard_tokens=5000).collect()
     spans = {}
