@@ -16,7 +16,7 @@ from .common import chunks, drop_path, fresh_path, integral, hash_strings, mater
 WINDOW = 2048  # tokens (words)
 #: Tokens of the pieces of one shard, about, and pieces of one block of the index at most.
 SHARD_TOKENS = 1_000_000
-SHARD_PIECES, BLOCK_PIECES = 1 << 16, 12_000
+SHARD_PIECES, BLOCK_PIECES = 1 << 16, 8_000
 #: Neighbours of one size class that the driver gets in one round, of all seeds and blocks, and that it gets for one seed.
 NEIGHBOURS, KEEP = 400_000, 256
 #: Words of the smallest pieces that the driver holds, to score these itself where a list of a window's last ones ends.
@@ -489,7 +489,7 @@ def pack_documents(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
         smallest = Smallest(placed, filler, counted)
         filler.hold(smallest.most, smallest.near)
         while filler.open or filler.left:
-            keep = max(16, min(KEEP, KEEP // n_blocks)) << min(filler.stuck, 20)
+            keep = max(8, KEEP // n_blocks) << min(filler.stuck, 20)
             seeds, rooms = filler.seeds(max(8, NEIGHBOURS // (n_blocks * keep)))
             filler.fill(seeds, _lists(index, placed, filler, seeds, rooms, keep, counted, smallest.words), keep)
             if len(filler.done) > 100_000 or not (filler.open or filler.left):
