@@ -14,6 +14,9 @@ TEXT_NAMES = ("text", "content", "markdown", "full_text", "body")
 ID_NAMES = ("id", "doc_id", "document_id", "doi", "file_name", "filename")
 MANIFEST = "input_file string, year int, size_bytes bigint, est_seconds double, status string, job_id string, attempts int, rows bigint, elapsed_s double, started_at string, finished_at string, error string"
 
+#: Rows in one range of :func:`with_position`, about, and ranges at most.
+RANGE_ROWS, MOST_RANGES = 200_000, 256
+
 
 def _fs(spark: SparkSession, path: str):
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -137,7 +140,7 @@ def merged_split(spark: SparkSession, root: str, folders: Sequence[str], split:
 def contiguous_shard(rows: DataFrame, order: Sequence[str | Column], shard: int, shards: int, most: int | None = None) -> DataFrame:
     """Rows of one of ``shards`` contiguous ranges in ``order`` of the first ``most``; ranges hold ceil(n / shards) rows.
 
-    Positions come from a range-sorted table, whose partitions are counted: no window over all rows.
+    Positions come from ranges of values that are counted: no window over all rows.
     """
     capped = rows.orderBy(*order).limit(most) if most is not None else rows
     n = capped.count()
@@ -146,17 +149,32 @@ def contiguous_shard(rows: DataFrame, order: Sequence[str | Column], shard: int,
 
 
 def with_position(rows: DataFrame, order: Sequence[str | Column], name: str = "position") -> DataFrame:
-    """``rows`` with their position, from 0, in ``order`` (sorted over partitions; only a count for each partition goes to the driver)."""
-    placed = rows.orderBy(*order).withColumns({"__part": F.spark_partition_id(), "__at": F.monotonically_increasing_id()})
-    placed = placed.withColumn("__local", F.col("__at").bitwiseAND((1 << 33) - 1))
-    counts = sorted((r["__part"], r["n"]) for r in placed.groupBy("__part").agg((F.max("__local") + 1).alias("n")).collect())
-    before, seen = {}, 0
-    for part, n in counts:
-        before[part], seen = seen, seen + n
-    if not before:
-        return placed.withColumn(name, F.lit(0).cast("bigint")).drop("__part", "__at", "__local")
-    offset = F.create_map(*[F.lit(x).cast("bigint") for kv in before.items() for x in kv])
-    return placed.withColumn(name, F.try_element_at(offset, F.col("__part").cast("bigint")) + F.col("__local")).drop("__part", "__at", "__local")
+    """``rows`` with their position, from 0, in the ascending ``order`` (names or expressions).
+
+    Rows are dealt to ranges by their values alone: bounds come from a sample and are literals of the plan.  So the counts
+    of the ranges, of which only these go to the driver, hold for every later run of the plan, whereas Spark's own range
+    partitions are sampled anew each time.  Ranges are numbered each on its own.
+    """
+    keys = [F.col(c) if isinstance(c, str) else c for c in order]
+    keyed = rows.withColumn("__key", F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)]))
+    n = keyed.count()
+    ranges = min(MOST_RANGES, -(-n // RANGE_ROWS))
+    bound, offset = [], {0: 0}
+    if ranges > 1:
+        drawn = keyed.sample(min(1.0, 200 * ranges / n), 7).select("__key").distinct().orderBy("__key").collect()
+        bound = [drawn[len(drawn) * i // ranges]["__key"] for i in range(1, ranges) if drawn]
+    if bound:
+        types = [f.dataType for f in keyed.schema["__key"].dataType]
+        one = lambda b: F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(b, types))])
+        keyed = keyed.withColumn("__range", F.size(F.filter(F.array(*map(one, bound)), lambda b: b <= F.col("__key"))))
+        seen = 0
+        for r in sorted(keyed.groupBy("__range").count().collect()):
+            offset[r["__range"]], seen = seen, seen + r["count"]
+    else:
+        keyed = keyed.withColumn("__range", F.lit(0))
+    before = F.try_element_at(F.create_map(*[F.lit(x) for kv in offset.items() for x in (kv[0], int(kv[1]))]).cast("map<int,bigint>"), F.col("__range"))
+    local = F.row_number().over(Window.partitionBy("__range").orderBy("__key")) - 1
+    return keyed.withColumn(name, before + local).drop("__key", "__range")
 
 
 def benchmark_sample(rows: DataFrame, order: Sequence[str | Column], augmented: Column | None = None, most: int | None = None, shard: int = 0, shards: int = 1) -> DataFrame:
