@@ -41,6 +41,23 @@ def _once(value: Column, use) -> Column:
 # ---- quality and failures
 
 
+def fixed_point(v: Column, places: int = 0) -> Column:
+    """A DOUBLE, not negative and under 2^53, with ``places`` digits as C's printf writes it: by its exact binary value, halves to even.
+
+    Java's formatter rounds the shortest decimal form, halves up.  The fraction is cut in two, so that products are exact.
+    """
+    s = 10**places
+    n = F.floor(v)
+    f = v - n
+    high = F.floor(f * (1 << 26)) / F.lit(float(1 << 26))
+    m = F.floor(f * s)
+    over = (high * s - m - 0.5) + (f - high) * s
+    whole = n * s + m
+    whole = whole + F.when((over > 0) | ((over == 0) & (whole % 2 == 1)), 1).otherwise(0)
+    digits = F.floor(whole / s).cast("string") if places else whole.cast("string")
+    return F.concat(digits, F.lit("."), F.lpad((whole % s).cast("string"), places, "0")) if places else digits
+
+
 def quality_message(x: Column) -> Column:
     """'OK', or why a text is not fit for healing."""
     ls = lines(x)
@@ -48,12 +65,12 @@ def quality_message(x: Column) -> Column:
     longest = F.array_max(F.transform(ls, F.length))
     blanks = F.regexp_count(x, F.lit(r"(?U)\s")) / F.length(x)
     mean = F.length(x) / F.size(ls)
-    percent = lambda v: F.format_string("%.1f%%", v * 100)
+    percent = lambda v: F.concat(fixed_point(v, 1), F.lit("%"))
     return (
         F.when(x.isNull() | (strip(x) == ""), "Empty file")
-        .when(long_ / F.size(ls) > 0.2, F.concat(F.lit("Contains "), long_, F.lit(" extremely long lines ("), percent(long_ / F.size(ls)), F.lit(" of file, max: "), longest, F.lit(" chars)")))
-        .when(blanks < 0.05, F.concat(F.lit("Very low whitespace ratio ("), percent(blanks), F.lit(") - likely malformed extraction")))
-        .when(mean > 1000, F.concat(F.lit("Unusually long average line length ("), F.format_string("%.0f", mean), F.lit(" chars)")))
+        .when(long_ / F.size(ls) > 0.2, F.concat(F.lit("Contains "), long_, F.lit(" extremely long lines ("), percent(long_ * 100 / F.size(ls)), F.lit(" of file, max: "), longest, F.lit(" chars)")))
+        .when(blanks < 0.05, F.concat(F.lit("Very low whitespace ratio ("), percent(blanks * 100), F.lit(") - likely malformed extraction")))
+        .when(mean > 1000, F.concat(F.lit("Unusually long average line length ("), fixed_point(mean), F.lit(" chars)")))
         .otherwise("OK")
     )
 
