@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import similarity as S
@@ -25,44 +25,50 @@ def _awards(rows: DataFrame, column: str) -> DataFrame:
     return one.select("doi", name.alias("funder"), *[F.col(f"a.{f}").alias(f) for f in FIELDS])
 
 
-def _differences(gold: DataFrame, said: DataFrame, keys: list[str], field: str, name: str) -> DataFrame:
-    """Values on one side only, as errors; both sides distinct rows of keys and ``value``."""
-    both = gold.withColumn("g", F.lit(1)).join(said.withColumn("p", F.lit(1)), [*keys, "value"], "full").filter("g is null or p is null")
-    missing = F.col("p").isNull()
-    kind = F.when(missing, f"missing_{name}").otherwise(f"extra_{name}")
-    funder = F.col("funder") if "funder" in keys else F.col("value")
-    return both.select("doi", kind.alias("error_type"), F.lit(field).alias("field"), F.when(missing, F.col("value")).otherwise("").alias("gold_value"), F.when(missing, "").otherwise(F.col("value")).alias("pred_value"), funder.alias("funder"))
-
-
 def compare_exact(rows: DataFrame) -> DataFrame:
     """(doi, error_type, field, gold_value, pred_value, funder) of each difference; ``rows``: (doi, funders, predicted_funders).
 
-    Eight kinds of values on one side only, inside the funders that both have, and three of unlike counts.  Sets and
-    anti-joins throughout: no record is compared in Python.
+    Eight kinds of values on one side only, inside the funders that both have, and three of unlike counts.  All values of
+    both sides are exploded once and counted once, by (doi, funder, field, value): no joins, and no record is compared in
+    Python.  Rows that are divided by ``doi`` are not shuffled.
     """
-    gold, said = _awards(rows, "funders"), _awards(rows, "predicted_funders")
-    named = lambda df: df.filter(F.col("funder") != _NULL).select("doi", F.col("funder").alias("value")).distinct()
-    out = [_differences(named(gold), named(said), ["doi"], "funder_name", "funder")]
-    count = lambda df, n: df.groupBy("doi", "funder").agg(F.count("*").alias(n))
-    counts = count(gold, "g").join(count(said, "p"), ["doi", "funder"], "full").fillna(0, ["g", "p"])
-    shared = counts.filter("g > 0 and p > 0").select("doi", "funder")
-    for field in FIELDS:
-        value = normalize_for_errors(F.col("value"))
-        values = lambda df: df.join(shared, ["doi", "funder"]).select("doi", "funder", F.explode(field).alias("value")).filter("value <> ''").select("doi", "funder", value.alias("value")).distinct()  # noqa: B023, E731
-        out.append(_differences(values(gold), values(said), ["doi", "funder"], field, NAMES[field][0]))
-
-    def mismatch(df: DataFrame, kind: str, field: str, funder: str, suffix: str = "") -> DataFrame:
-        show = lambda c: F.concat(F.col(c).cast("string"), F.lit(suffix))
-        return df.filter("g <> p").select("doi", F.lit(kind).alias("error_type"), F.lit(field).alias("field"), show("g").alias("gold_value"), show("p").alias("pred_value"), (F.col(funder) if funder else F.lit(None).cast("string")).alias("funder"))
-
-    out.append(mismatch(counts.filter("g > 0 and p > 0"), "award_count_mismatch", "awards", "funder"))
-    out.append(mismatch(counts.filter(F.col("funder") == _NULL), "null_funder_count_mismatch", "funder_name", "", " null funders"))
-    total = counts.groupBy("doi").agg(F.sum("g").alias("g"), F.sum("p").alias("p"))
-    out.append(mismatch(total, "funder_count_mismatch", "funders", ""))
-    errors = out[0]
-    for more in out[1:]:
-        errors = errors.unionByName(more)
-    return errors.withColumn("funder", F.when(F.col("funder") == _NULL, "(null funder)").otherwise(F.col("funder")))
+    fields = ("funder_name", *FIELDS)  # of an item: its place, 0 the funder's own; -1 counts a record's awards
+    text = "string"
+
+    def items(column: str, g: int, p: int) -> Column:
+        flat = flat_awards(F.col(column).cast(FUNDERS))
+        item = lambda k, funder, value: F.struct(F.lit(k).alias("k"), funder.cast(text).alias("funder"), value.cast(text).alias("value"), F.lit(g).alias("g"), F.lit(p).alias("p"))
+
+        def each(a: Column) -> Column:
+            own = F.array(item(0, a["funder"], F.lit("")), item(-1, F.lit(None), F.lit("")))
+            value = lambda k: lambda v: item(k, a["funder"], normalize_for_errors(v))
+            return F.concat(own, *[F.transform(F.filter(a[f], lambda v: v != ""), value(k)) for k, f in enumerate(fields) if k])
+
+        name = lambda a: F.when(a["funder_name"].isNull(), F.lit(_NULL)).otherwise(normalize_for_errors(a["funder_name"]))
+        named = F.transform(flat, lambda a: F.struct(name(a).alias("funder"), *[a[f].alias(f) for f in FIELDS]))
+        return F.flatten(F.transform(named, each))
+
+    one = rows.select("doi", F.explode(F.concat(items("funders", 1, 0), items("predicted_funders", 0, 1))).alias("i")).select("doi", "i.*")
+    counts = one.groupBy("doi", "funder", "k", "value").agg(F.sum("g").alias("g"), F.sum("p").alias("p"))
+    k, g, p, null = F.col("k"), F.col("g"), F.col("p"), F.col("funder") == _NULL
+    both = F.max((k == 0) & (g > 0) & (p > 0)).over(Window.partitionBy("doi", "funder"))
+    counts = counts.withColumn("both", both).filter((g != p) & ((k <= 0) | F.col("both")))
+    shown = F.when(null, "(null funder)").otherwise(F.col("funder"))
+
+    def error(kind: Column, field: Column, gold: Column, said: Column, funder: Column) -> Column:
+        return F.struct(*[c.cast(text).alias(n) for n, c in zip(COLUMNS[1:], (kind, field, gold, said, funder))])
+
+    of = lambda names: F.element_at(F.array(*map(F.lit, names)), k + 1)
+    value = F.when(k == 0, F.col("funder")).otherwise(F.col("value"))
+    side = error(F.concat(F.when(p == 0, "missing_").otherwise("extra_"), of([NAMES[f][0] for f in fields])), of(fields), F.when(p == 0, value).otherwise(""), F.when(p == 0, "").otherwise(value), shown)
+    awards = error(F.lit("award_count_mismatch"), F.lit("awards"), g, p, shown)
+    nulls = error(F.lit("null_funder_count_mismatch"), F.lit("funder_name"), F.concat(g, F.lit(" null funders")), F.concat(p, F.lit(" null funders")), F.lit(None))
+    total = error(F.lit("funder_count_mismatch"), F.lit("funders"), g, p, F.lit(None))
+    found = F.array(
+        F.when(k == -1, total).when((g == 0) | (p == 0), F.when((k > 0) | ~null, side)).when(k == 0, awards),
+        F.when((k == 0) & null, nulls),
+    )
+    return counts.select("doi", F.explode(F.array_compact(found)).alias("e")).select("doi", "e.*")
 
 
 def fuzzy_errors(gold: Iterable[dict], said: Iterable[dict], least: float = 90.0) -> list[tuple[str, str, str, str, str | None]]:
@@ -117,12 +123,17 @@ def compare_fuzzy(rows: DataFrame, least: float = 90.0) -> DataFrame:
     return made.select("doi", "e.*")
 
 
+def _of_all(rows: DataFrame, errors: DataFrame, *more: Column) -> DataFrame:
+    """(doi, error_count, error_types, ...) of every document, the aggregates ``more`` NULL where there are no errors."""
+    by = errors.groupBy("doi").agg(F.count("*").alias("error_count"), F.array_sort(F.collect_set("error_type")).alias("error_types"), *more)
+    none = F.array().cast("array<string>")
+    rest = [c for c in by.columns if c not in ("doi", "error_count", "error_types")]
+    return rows.select("doi").join(by, "doi", "left").select("doi", F.coalesce("error_count", F.lit(0)).alias("error_count"), F.coalesce("error_types", none).alias("error_types"), *rest)
+
+
 def document_summary(rows: DataFrame, errors: DataFrame) -> DataFrame:
     """(doi, error_count, error_types) of every document, worst first, ties by DOI; documents without errors count 0."""
-    by = errors.groupBy("doi").agg(F.count("*").alias("error_count"), F.array_sort(F.collect_set("error_type")).alias("error_types"))
-    out = rows.select("doi").join(by, "doi", "left")
-    none = F.array().cast("array<string>")
-    return out.select("doi", F.coalesce("error_count", F.lit(0)).alias("error_count"), F.coalesce("error_types", none).alias("error_types")).orderBy(F.desc("error_count"), "doi")
+    return _of_all(rows, errors).orderBy(F.desc("error_count"), "doi")
 
 
 def type_summary(errors: DataFrame) -> DataFrame:
@@ -139,9 +150,7 @@ def side_by_side(rows: DataFrame, errors: DataFrame) -> DataFrame:
     for name, plural in NAMES.values():
         for kind, value in (("missing", "gold_value"), ("extra", "pred_value")):
             lists.append(F.array_join(F.array_sort(F.collect_list(F.when(F.col("error_type") == f"{kind}_{name}", F.col(value)))), "; ").alias(f"{kind}_{plural}"))
-    wide = errors.groupBy("doi").agg(*lists)
-    names = [c for c in wide.columns if c != "doi"]
-    return document_summary(rows, errors).join(wide, "doi", "left").fillna("", names)
+    return _of_all(rows, errors, *lists).fillna("", [f"{kind}_{plural}" for _, plural in NAMES.values() for kind in ("missing", "extra")])
 
 
 def perfect_count(rows: DataFrame, errors: DataFrame) -> DataFrame:
