@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import similarity as S
-from ..functions.funders import FIELDS, FUNDERS, flat_awards
+from ..functions.funders import FIELDS, FUNDERS, flat_awards, records
 from ..functions.text import normalize_for_errors
 
 #: field -> (name in error types, name in value lists)
@@ -114,10 +115,12 @@ def fuzzy_errors(gold: Iterable[dict], said: Iterable[dict], least: float = 90.0
 def compare_fuzzy(rows: DataFrame, least: float = 90.0) -> DataFrame:
     """As :func:`compare_exact`, values matched by similarity; a record is one Python call, in Arrow batches."""
 
-    @F.pandas_udf("array<struct<error_type: string, field: string, gold_value: string, pred_value: string, funder: string>>")
-    def compare(gold: pd.Series, said: pd.Series) -> pd.Series:
-        names = COLUMNS[1:]
-        return pd.Series([[dict(zip(names, e)) for e in fuzzy_errors(list(g) if g is not None else [], list(p) if p is not None else [], least)] for g, p in zip(gold, said)])
+    @F.arrow_udf("array<struct<error_type: string, field: string, gold_value: string, pred_value: string, funder: string>>")
+    def compare(gold: pa.Array, said: pa.Array) -> pa.Array:
+        made = [fuzzy_errors(g, p, least) for g, p in zip(records(gold), records(said))]
+        flat = list(zip(*[e for errors in made for e in errors])) or [()] * 5
+        items = pa.StructArray.from_arrays([pa.array(c, pa.string()) for c in flat], list(COLUMNS[1:]))
+        return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, made)]), pa.int32()), items)
 
     made = rows.select("doi", F.explode(compare(F.col("funders").cast(FUNDERS), F.col("predicted_funders").cast(FUNDERS))).alias("e"))
     return made.select("doi", "e.*")
