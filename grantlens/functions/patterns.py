@@ -7,7 +7,8 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Sequence
+import re._parser as sre
+from collections.abc import Iterable, Sequence
 
 #: Java flags: no case, word characters and blanks of Unicode, a dot is all but a line feed.
 FLAGS = "(?iUd)"
@@ -130,6 +131,35 @@ def either(patterns: Sequence[str]) -> str:
     return "(?:" + "|".join(f"(?:{expand(p)})" for p in patterns) + ")"
 
 
+def _best(found: Iterable[frozenset[str] | None]) -> frozenset[str] | None:
+    """Of sets of words, each of which has one that must occur, the one whose shortest word is longest."""
+    return max((f for f in found if f), key=lambda f: (min(map(len, f)), -len(f)), default=None)
+
+
+def _required(parsed) -> frozenset[str] | None:
+    found, run = [], ""
+    for op, arg in [*parsed, (None, None)]:
+        if op is sre.LITERAL:
+            run += chr(arg).lower()
+            continue
+        found.append(frozenset([run]) if run else None)
+        run = ""
+        if op is sre.SUBPATTERN:
+            found.append(_required(arg[3]))
+        elif op in (sre.MAX_REPEAT, sre.MIN_REPEAT) and arg[0] > 0:
+            found.append(_required(arg[2]))
+        elif op is sre.BRANCH:
+            each = [_required(a) for a in arg[1]]
+            found.append(frozenset().union(*each) if all(each) else None)
+    return _best(found)
+
+
+def required(pattern: str, least: int = 3) -> frozenset[str] | None:
+    """Lower-case words of ``least`` letters or more, one of which is in every text that an expanded pattern matches; None where there are none."""
+    got = _required(sre.parse(expand(pattern)))
+    return got if got and min(map(len, got)) >= least else None
+
+
 def load(path: str | None, default: dict, kind: str) -> dict:
     """A set of queries or patterns: ``default``, or a JSON file ``path``, or ``<path>/<kind>.json`` of a folder; an error where it is missing or no object."""
     if path is None:
