@@ -9,7 +9,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from .text import strip
 
@@ -23,6 +22,9 @@ WORDS = frozenset(
     "may method methods model more most new no not of on one only or other our paper present research results same section show shown since some study such system than that the their then there these they this those "
     "through time to two under up use used using value values was we well were when where which while will with within without work would".split()
 )
+#: Texts of which a Python worker holds copies at once.
+SLICE_ROWS = 256
+_LENGTHS = sorted({len(w) for w in WORDS}, reverse=True)
 
 
 def lines(x: Column) -> Column:
@@ -134,21 +136,15 @@ def trim_leading_noise(x: Column) -> Column:
     return _once(lines(x), cut)
 
 
-def _runs(ls: Column, inside) -> Column:
-    """For each line: the numbers of the first line of its run and of the first line after it, of lines that are ``inside`` alike."""
-    flags = F.transform(ls, lambda s: inside(s))
-    edges = F.transform(flags, lambda f, i: F.when((i == 0) | (f != F.get(flags, i - 1)), i))
-
-    def ends(starts: Column) -> Column:
-        return F.transform(flags, lambda f, i: F.struct(f.alias("flag"), F.array_max(F.filter(starts, lambda e: e <= i)).alias("a"), F.coalesce(F.array_min(F.filter(starts, lambda e: e > i)), F.size(ls)).alias("b")))
-
-    return _once(F.filter(edges, lambda e: e.isNotNull()), ends)
-
-
 def drop_short_line_runs(x: Column, longest: int = 3, least: int = 5) -> Column:
-    """Without runs of ``least`` or more lines of ``longest`` characters at most, blank ones included."""
+    """Without runs of ``least`` or more lines of ``longest`` characters at most, blank ones included.
+
+    A letter stands for each line, s or l, so that runs are parts of one short text; those that go become x.
+    """
     def cut(ls: Column) -> Column:
-        return _once(_runs(ls, lambda s: F.length(strip(s)) <= longest), lambda r: _join(F.filter(ls, lambda s, i: ~(F.get(r, i)["flag"] & (F.get(r, i)["b"] - F.get(r, i)["a"] >= least)))))
+        letters = F.array_join(F.transform(ls, lambda s: F.when(F.length(strip(s)) <= longest, "s").otherwise("l")), "")
+        runs = F.transform(F.regexp_extract_all(letters, F.lit("s+|l+"), F.lit(0)), lambda r: F.when(r.startswith("s") & (F.length(r) >= least), F.repeat(F.lit("x"), F.length(r))).otherwise(r))
+        return _once(F.split(F.array_join(runs, ""), ""), lambda marks: _join(F.filter(ls, lambda s, i: F.get(marks, i) != "x")))
 
     return _once(lines(x), cut)
 
@@ -297,12 +293,23 @@ def merge_broken_lines(text: str) -> str:
 def split_words(line: str) -> tuple[str, int]:
     """(line with blanks, how many): the cheapest division into words of 15 letters at most, known ones cheap; refused where under five words or 40 % known."""
     n, low = len(line), line.lower()
-    cost, back = [0.0] + [float("inf")] * n, [0] * (n + 1)
-    for i in range(n):
-        for j in range(i + 1, min(i + 15, n) + 1):
-            c = cost[i] + (1 if low[i:j] in WORDS else {1: 100, 2: 100, 3: 10}.get(j - i, 5))
-            if c < cost[j]:
-                cost[j], back[j] = c, i
+    cost, back = [0.0] * (n + 1), [0] * (n + 1)
+    for j in range(1, n + 1):
+        # the first place of the least cost wins; 4 to 15 letters cost 5, three 10, fewer 100, known words 1
+        best, at = float("inf"), 0
+        if j > 3:
+            first = max(0, j - 15)
+            window = cost[first : j - 3]
+            best = min(window) + 5
+            at = first + window.index(best - 5)
+        for i, c in ((j - 3, 10), (j - 2, 100), (j - 1, 100)):
+            if i >= 0 and cost[i] + c < best:
+                best, at = cost[i] + c, i
+        for k in _LENGTHS:
+            i = j - k
+            if i >= 0 and low[i:j] in WORDS and (cost[i] + 1 < best or (cost[i] + 1 == best and i < at)):
+                best, at = cost[i] + 1, i
+        cost[j], back[j] = best, at
     words, at = [], n
     while at:
         words.append(line[back[at] : at])
@@ -399,14 +406,19 @@ def restored(rows: DataFrame, column: str = "text", page: int = 50, share: float
     y = drop_short_line_runs(remove_footers(strip_repeated_lines(trimmed, page, share, most_words, least_count)))
     y = remove_blank_between_short(remove_noise(y, citations))
     notes = F.array(F.when(trimmed != x, "Trimmed leading noise before first paragraph"), F.when(F.size(gone) > 0, F.concat(F.lit("Removed repeated lines: "), F.array_join(F.slice(gone, 1, 5), ", "))))
-    before = rows.withColumns({"__before": y, "__notes": notes})
+    others = [c for c in rows.columns if c != column]
+    before = rows.select(*others, y.alias("__text"), notes.alias("__notes"))  # the text as it was does not go to Python
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            done = [None if t is None else finish(t, tables) for t in batch.column("__before").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(done, pa.string())], [*batch.schema.names, "__after"])
-
-    made = before.mapInArrow(work, StructType([*before.schema.fields, StructField("__after", StringType())]))
-    odd = F.when(fences_unbalanced(F.col("__after")), "Detected unbalanced code fences")
+        # a slice at a time, so that few texts are Python strings at once and results leave early
+        for whole in batches:
+            for i in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(i, SLICE_ROWS)
+                done = [None if t is None else finish(t, tables) for t in batch.column("__text").to_pylist()]
+                k = batch.schema.get_field_index("__text")
+                yield pa.RecordBatch.from_arrays([pa.array(done, pa.string()) if j == k else c for j, c in enumerate(batch.columns)], batch.schema.names)
+
+    made = before.mapInArrow(work, before.schema)
+    odd = F.when(fences_unbalanced(F.col("__text")), "Detected unbalanced code fences")
     out = made.withColumn("warnings", F.array_compact(F.array_append("__notes", odd)))
-    return out.withColumn(column, F.col("__after")).drop("__before", "__notes", "__after")
+    return out.select(*[F.col("__text").alias(c) if c == column else c for c in rows.columns], "warnings")
